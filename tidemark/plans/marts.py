@@ -102,10 +102,10 @@ def _deltas(stg: DataFrame) -> DataFrame:
                         / F.nullif(F.col("hours_since_prev").cast("double"), F.lit(0.0))))
 
 
-def velocity_hourly(stg: DataFrame) -> DataFrame:
+def velocity_unranked(stg: DataFrame) -> DataFrame:
     deltas = _deltas(stg.select("video_id", "title", "channel_title", "region", "captured_at",
                                 "views", "likes", "comment_count")).where("_prev_views is not null")
-    calc = deltas.select(
+    return deltas.select(
         "video_id", "title", "channel_title", "region", "captured_at", "views", "delta_views",
         (F.col("likes") - F.col("_prev_likes")).alias("delta_likes"),
         (F.col("comment_count") - F.col("_prev_comment_count")).alias("delta_comments"),
@@ -115,8 +115,12 @@ def velocity_hourly(stg: DataFrame) -> DataFrame:
                F.round(F.col("delta_views").cast("decimal(20,0)") * 100
                        / F.col("_prev_views").cast("decimal(20,0)"), 2)).alias("delta_views_pct"),
     )
+
+
+def velocity_hourly(stg: DataFrame) -> DataFrame:
     # ranked on the unrounded rate
-    return ranked(calc, ["region", "captured_at"], [("_rate", "desc")], "velocity_rank").drop("_rate")
+    return ranked(velocity_unranked(stg), ["region", "captured_at"], [("_rate", "desc")],
+                  "velocity_rank").drop("_rate")
 
 
 def video_lifecycle(stg: DataFrame, categories: DataFrame) -> DataFrame:

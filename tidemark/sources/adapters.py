@@ -89,3 +89,46 @@ def envelopes(t: Tables) -> DataFrame:
     return docs.select(
         metadata(F.col("region"), F.col("captured_at"), F.col("ingested_at")).alias("_metadata"),
         F.struct("items").alias("response"))
+
+
+def commerce_raw(t: Tables) -> DataFrame:
+    """Events in the nested shape of an analytics export: items array and key-value params."""
+    k, eid, uid = F.col("_k"), F.col("event_id"), F.col("user_id")
+    is_purchase = F.col("event_type") == "purchase"
+    pick = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
+    quantity = F.when(is_purchase, eid % 3 + 1)
+
+    def item(key: Column, known: Column) -> Column:
+        cents = key * 137 + 500 + (eid % 5) * 10
+        return F.struct(
+            F.when(known, F.concat(F.lit("item_"), key.cast("string"))).alias("item_id"),
+            F.concat(F.lit("Item "), key.cast("string")).alias("item_name"),
+            F.when(key != 55, F.concat(F.lit("cat_"), (key % 10).cast("string"))).alias("item_category"),
+            (cents / 100).alias("price"), quantity.alias("quantity"),
+            (cents * quantity / 100).alias("item_revenue"))
+
+    first, second = item(k, eid % 37 != 0), item((k + 7) % 100, F.lit(True))
+    items = F.concat(F.array(first), F.when(eid % 3 == 0, F.array(second)).otherwise(F.array().cast(
+        "array<struct<item_id:string,item_name:string,item_category:string,price:double,quantity:bigint,item_revenue:double>>")),
+        F.when(eid % 11 == 0, F.array(first)).otherwise(F.array().cast(
+            "array<struct<item_id:string,item_name:string,item_category:string,price:double,quantity:bigint,item_revenue:double>>")))
+    text = lambda key, v: F.struct(F.lit(key).alias("key"), v.alias("string_value"), F.lit(None).cast("long").alias("int_value"))
+    number = lambda key, v: F.struct(F.lit(key).alias("key"), F.lit(None).cast("string").alias("string_value"), v.alias("int_value"))
+    session = F.when(eid % 50 != 7, F.expr("unix_micros(ts) div 1000000 div 172800"))
+    names = F.create_map(*[F.lit(x) for x in (
+        "view", "view_item", "click", "add_to_cart", "signup", "begin_checkout", "purchase", "purchase")])
+    return t.events.withColumn("_k", _k()).select(
+        "event_id", F.to_date("ts").alias("event_date"), F.unix_micros("ts").alias("event_ts_micros"),
+        F.coalesce(F.try_element_at(names, F.col("event_type")),
+                   F.when(eid % 2 == 0, "page_view").otherwise("session_start")).alias("event_name"),
+        F.concat(F.lit("u"), uid.cast("string")).alias("user_pseudo_id"),
+        F.array(number("ga_session_id", session),
+                text("transaction_id", F.when(is_purchase, F.concat(F.lit("t"), eid.cast("string")))),
+                text("source", F.when(eid % 5 != 0, F.concat(F.lit("src_"), (eid % 12).cast("string")))),
+                text("medium", F.when(eid % 7 != 0, pick(["organic", "cpc", "email"], eid % 3))),
+                text("campaign", F.when(eid % 4 == 0, F.concat(F.lit("camp_"), (eid % 6).cast("string"))))).alias("event_params"),
+        pick(["desktop", "mobile", "tablet"], (uid + F.when(eid % 4 == 0, 1).otherwise(0)) % 3).alias("device_category"),
+        pick(["TW", "US", "JP", "DE"], (uid + F.when(eid % 6 == 0, 1).otherwise(0)) % 4).alias("geo_country"),
+        F.concat(F.lit("s"), (uid % 12).cast("string")).alias("first_touch_source"),
+        pick(["organic", "cpc", "referral"], uid % 3).alias("first_touch_medium"),
+        items.alias("items"))
