@@ -12,11 +12,12 @@ from tidemark.sources.tables import Tables
 view("ga_raw", """
   SELECT event_id, ts::date AS event_date, epoch_us(ts) AS event_ts_micros, ts AS event_ts,
          CASE event_type WHEN 'view' THEN 'view_item' WHEN 'click' THEN 'add_to_cart'
-              WHEN 'signup' THEN 'begin_checkout' WHEN 'purchase' THEN 'purchase'
+              WHEN 'signup' THEN 'begin_checkout'
+              WHEN 'purchase' THEN CASE WHEN user_id % 5 = 0 THEN 'view_item' ELSE 'purchase' END
               ELSE CASE WHEN event_id % 2 = 0 THEN 'page_view' ELSE 'session_start' END END AS event_name,
          'u' || user_id AS user_pseudo_id,
          CASE WHEN event_id % 50 <> 7 THEN epoch_us(ts) // 1000000 // 172800 END AS ga_session_id,
-         CASE WHEN event_type = 'purchase' THEN 't' || event_id END AS transaction_id,
+         CASE WHEN event_type = 'purchase' AND user_id % 5 <> 0 THEN 't' || event_id END AS transaction_id,
          CASE WHEN event_id % 5 <> 0 THEN 'src_' || (event_id % 12) END AS source,
          CASE WHEN event_id % 7 <> 0 THEN ['organic','cpc','email'][(event_id % 3 + 1)::int] END AS medium,
          CASE WHEN event_id % 4 = 0 THEN 'camp_' || (event_id % 6) END AS campaign,
@@ -25,7 +26,7 @@ view("ga_raw", """
          's' || (user_id % 12) AS first_touch_source,
          ['organic','cpc','referral'][(user_id % 3 + 1)::int] AS first_touch_medium,
          (json_extract(props, '$.k'))::bigint AS k,
-         CASE WHEN event_type = 'purchase' THEN event_id % 3 + 1 END AS qty
+         CASE WHEN event_type = 'purchase' AND user_id % 5 <> 0 THEN event_id % 3 + 1 END AS qty
   FROM events""")
 view("ga_items", """
   SELECT *, 'item_' || ik AS item_id, 'Item ' || ik AS item_name,

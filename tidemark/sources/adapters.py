@@ -94,7 +94,8 @@ def envelopes(t: Tables) -> DataFrame:
 def commerce_raw(t: Tables) -> DataFrame:
     """Events in the nested shape of an analytics export: items array and key-value params."""
     k, eid, uid = F.col("_k"), F.col("event_id"), F.col("user_id")
-    is_purchase = F.col("event_type") == "purchase"
+    # every fifth user only browses, so tables have non-buyers in them
+    is_purchase = (F.col("event_type") == "purchase") & (uid % 5 != 0)
     pick = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
     quantity = F.when(is_purchase, eid % 3 + 1)
 
@@ -119,8 +120,9 @@ def commerce_raw(t: Tables) -> DataFrame:
         "view", "view_item", "click", "add_to_cart", "signup", "begin_checkout", "purchase", "purchase")])
     return t.events.withColumn("_k", _k()).select(
         "event_id", F.to_date("ts").alias("event_date"), F.unix_micros("ts").alias("event_ts_micros"),
-        F.coalesce(F.try_element_at(names, F.col("event_type")),
-                   F.when(eid % 2 == 0, "page_view").otherwise("session_start")).alias("event_name"),
+        F.when((F.col("event_type") == "purchase") & ~is_purchase, "view_item").otherwise(
+            F.coalesce(F.try_element_at(names, F.col("event_type")),
+                       F.when(eid % 2 == 0, "page_view").otherwise("session_start"))).alias("event_name"),
         F.concat(F.lit("u"), uid.cast("string")).alias("user_pseudo_id"),
         F.array(number("ga_session_id", session),
                 text("transaction_id", F.when(is_purchase, F.concat(F.lit("t"), eid.cast("string")))),
