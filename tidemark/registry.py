@@ -39,13 +39,14 @@ def view(name: str, sql: str) -> None:
 
 def with_views(body: str) -> str:
     needed: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         for name in VIEWS:
-            if name not in needed and re.search(rf"\b{name}\b", text):
+            if name not in seen and re.search(rf"\b{name}\b", text):
+                seen.add(name)
                 visit(VIEWS[name])
-                if name not in needed:
-                    needed.append(name)
+                needed.append(name)
 
     visit(body)
     if not needed:

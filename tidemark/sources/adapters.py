@@ -134,3 +134,31 @@ def commerce_raw(t: Tables) -> DataFrame:
         F.concat(F.lit("s"), (uid % 12).cast("string")).alias("first_touch_source"),
         pick(["organic", "cpc", "referral"], uid % 3).alias("first_touch_medium"),
         items.alias("items"))
+
+
+def threads(t: Tables) -> DataFrame:
+    """Documents as comment threads, one page of one thread per row."""
+    d = F.col("doc_id")
+    published = F.timestamp_micros(F.lit(_MICROS_2024) + (d % 10007) * 1730 * 1000000)
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    snippet = F.struct(
+        F.col("text").alias("textDisplay"), F.when(d % 13 != 0, F.col("n_chars") % 97).alias("likeCount"),
+        iso(published).alias("publishedAt"), iso(published + F.expr("INTERVAL 1 HOUR")).alias("updatedAt"),
+        F.struct(F.when(d % 11 != 0, F.col("source")).alias("value")).alias("authorChannelId"),
+        F.concat(F.col("lang"), (d % 50).cast("string")).alias("authorDisplayName"))
+    item = F.struct(F.struct(F.concat(F.lit("v"), (d % 100).cast("string")).alias("videoId"),
+                             F.when(d % 5 != 0, d % 7).alias("totalReplyCount"),
+                             F.struct(F.concat(F.lit("cm"), d.cast("string")).alias("id"), snippet.alias("snippet")).alias("topLevelComment")).alias("snippet"))
+    return t.documents.select(F.to_date(published).alias("ingest_date"), (published + F.expr("INTERVAL 2 HOURS")).alias("ingested_at"),
+                              F.array(item).alias("items"))
+
+
+def articles(t: Tables) -> DataFrame:
+    """Documents as forum articles with comment counts."""
+    d, n = F.col("doc_id"), F.col("n_chars")
+    rows = t.documents.select(
+        F.col("source").alias("board"), d.alias("aid"), F.date_add(F.lit("2024-01-01").cast("date"), (d % 9).cast("int")).alias("post_date"),
+        F.when(d % 17 != 0, F.concat(F.lit("cat"), (n % 4).cast("string"))).alias("category"),
+        F.concat(F.lit("a"), (n % 60).cast("string")).alias("author_id"), (n % 120).alias("comments_total"))
+    rows = rows.withColumn("comments_push", F.expr("comments_total div 2")).withColumn("comments_boo", F.expr("comments_total div 5"))
+    return rows.withColumn("comments_score", F.col("comments_push") - F.col("comments_boo"))
