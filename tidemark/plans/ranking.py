@@ -9,29 +9,35 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.numeric import exact_round
 
 
-def rank_metrics(ranked: DataFrame, judged: DataFrame, keys: Sequence[str], k: int = 10) -> DataFrame:
+def rank_metrics(ranked: DataFrame, judged: DataFrame, keys: Sequence[str], k: int = 10,
+                 relevant_from: int = 1) -> DataFrame:
     """hit, recall, nDCG, MAP and MRR at ``k`` per variant, averaged over all judged queries.
 
     ``ranked`` holds (variant, *keys, item_id, rank); ``judged`` holds (*keys, item_id, grade > 0).
+    hit, recall, MAP and MRR count grades from ``relevant_from``; nDCG uses every grade.
     A query a variant found nothing for counts as zero. Only the first ``k`` ranks are windowed.
     """
     top = ranked.where(F.col("rank") <= k).join(judged, [*keys, "item_id"])
-    seen = F.row_number().over(Window.partitionBy("variant", *keys).orderBy("rank"))  # at most k rows
+    rel = F.col("grade") >= relevant_from
+    seen = F.count_if(rel).over(Window.partitionBy("variant", *keys).orderBy("rank"))  # at most k rows
     discount = F.log2(F.col("rank") + 1)
     gain = F.pow(F.lit(2.0), F.col("grade")) - 1
     got = (top.withColumn("_seen", seen).groupBy("variant", *keys).agg(
-        F.count(F.lit(1)).alias("hits"), F.sum(gain / discount).alias("dcg"),
-        F.sum(F.col("_seen") / F.col("rank")).alias("precisions"), F.min("rank").alias("first")))
+        F.count_if(rel).alias("hits"), F.sum(gain / discount).alias("dcg"),
+        F.sum(F.when(rel, F.col("_seen") / F.col("rank")).otherwise(0.0)).alias("precisions"),
+        F.min(F.when(rel, F.col("rank"))).alias("first")))
     best = judged.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("grade").desc(), "item_id")))
     ideal = best.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("relevant"),
+        F.count_if(rel).alias("relevant"),
         F.sum(F.when(F.col("_i") <= k, gain / F.log2(F.col("_i") + 1))).alias("idcg"))
     variants = F.array_sort(F.collect_set("variant"))
     every = ideal.crossJoin(F.broadcast(ranked.agg(variants.alias("_v")))).withColumn("variant", F.explode("_v")).drop("_v")
     rows = every.join(got, ["variant", *keys], "left").na.fill(0)
     per_query = {
-        "hit": (F.col("hits") > 0).cast("double"), "recall": F.col("hits") / F.col("relevant"),
-        "ndcg": F.col("dcg") / F.col("idcg"), "map": F.col("precisions") / F.least("relevant", F.lit(k)),
+        "hit": (F.col("hits") > 0).cast("double"),
+        "recall": F.coalesce(F.col("hits") / F.nullif(F.col("relevant").cast("double"), F.lit(0.0)), F.lit(0.0)),
+        "ndcg": F.coalesce(F.col("dcg") / F.nullif(F.col("idcg"), F.lit(0.0)), F.lit(0.0)),
+        "map": F.coalesce(F.col("precisions") / F.nullif(F.least("relevant", F.lit(k)).cast("double"), F.lit(0.0)), F.lit(0.0)),
         "mrr": F.when(F.col("first") > 0, 1.0 / F.col("first")).otherwise(0.0)}
     out = rows.groupBy("variant").agg(F.count(F.lit(1)).alias("queries"),
                                       *[F.avg(e).alias(n) for n, e in per_query.items()])
