@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.snapshots import stg
+from tidemark.operators.scalars import attach
 from tidemark.plans import prediction, slo
 from tidemark.registry import query, view
 from tidemark.session import cut
@@ -187,7 +188,7 @@ def log_patterns(t: Tables):
   FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 24 HOUR GROUP BY 1""")
 def metric_summary(t: Tables):
     newest = t.events.agg(F.max("ts").alias("_now"))
-    rows = t.events.crossJoin(F.broadcast(newest))
+    rows = t.events.transform(attach, newest)
     return slo.metric_summary(rows, "event_type", "value", F.col("ts") > F.col("_now") - F.expr("INTERVAL 24 HOURS"), F.struct("ts", "event_id"))
 
 

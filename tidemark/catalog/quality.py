@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalog.snapshots import daily, stg
+from tidemark.operators.scalars import attach
 from tidemark.plans import health, marts, quality
 from tidemark.plans.silver import dedupe
 from tidemark.registry import query, view
@@ -20,11 +21,11 @@ view("clock", "SELECT max(ts) + INTERVAL 3 HOUR AS as_of FROM events")
 
 def with_as_of(t: Tables, df: DataFrame) -> DataFrame:
     """The evaluation time is three hours after the newest event, as a one-row join."""
-    return df.crossJoin(F.broadcast(t.events.agg((F.max("ts") + F.expr("INTERVAL 3 HOURS")).alias("as_of"))))
+    return df.transform(attach, t.events.agg((F.max("ts") + F.expr("INTERVAL 3 HOURS")).alias("as_of")))
 
 
-def _models(t: Tables) -> dict[str, DataFrame]:
-    return marts.build_all(adapters.silver(t), adapters.categories(t))
+def _models(t: Tables, *names: str) -> dict[str, DataFrame]:
+    return marts.build(adapters.silver(t), adapters.categories(t), names or tuple(marts.LAYERS))
 
 
 def _report(checks: list[quality.Check]) -> DataFrame:
@@ -43,7 +44,7 @@ _NULLS = " UNION ALL ".join(
 
 @query("dq_not_null", _NULLS)
 def dq_not_null(t: Tables):
-    models = _models(t)
+    models = _models(t, *quality.NOT_NULL)
     return reduce(DataFrame.unionByName, [
         quality.null_counts(m, models[m], cols) for m, cols in quality.NOT_NULL.items()])
 
@@ -78,7 +79,7 @@ def _unique(name: str, source: str):
       SELECT 'unique:{name}' AS check_name, 'error' AS severity, count(*) AS offending_rows
       FROM (SELECT {keys} FROM {source} GROUP BY ALL HAVING count(*) > 1)""")
     def check(t: Tables):
-        return _report([quality.Check(f"unique:{name}", quality.duplicates(_models(t)[name], quality.GRAINS[name]))])
+        return _report([quality.Check(f"unique:{name}", quality.duplicates(_models(t, name)[name], quality.GRAINS[name]))])
 
 
 for _name, _source in [("gold_trending_daily", "gold_trending"), ("gold_video_lifecycle", "lifecycle"),
@@ -98,14 +99,14 @@ def dq_non_negative(t: Tables):
          count(*) FILTER (hours_since_prev <= 0) AS offending_rows FROM velocity""")
 def dq_velocity_hours(t: Tables):
     return _report([quality.Check("positive:hours_since_prev",
-                                  _models(t)["gold_video_velocity_hourly"].where("hours_since_prev <= 0"))])
+                                  marts.velocity_unranked(stg(t)).where("hours_since_prev <= 0"))])
 
 
 @query("dq_negative_delta", """
   SELECT video_id, region, captured_at, delta_views FROM velocity WHERE delta_views < 0""")
 def dq_negative_delta(t: Tables):
     """Snapshots whose counter went down: the same probe with rows to show."""
-    return _models(t)["gold_video_velocity_hourly"].where("delta_views < 0").select(
+    return marts.velocity_unranked(stg(t)).where("delta_views < 0").select(
         "video_id", "region", "captured_at", "delta_views")
 
 
@@ -171,9 +172,9 @@ def metric_rows_24h(t: Tables):
         ("gold_channel_performance", "gold_channel"), ("gold_category_daily", "gold_category"),
         ("gold_video_velocity_hourly", "velocity"), ("gold_video_lifecycle", "lifecycle")]))
 def metric_mart_rows(t: Tables):
-    models = _models(t)
+    models = _models(t, *[m for m in marts.LAYERS if m.startswith("gold_")])
     return health.row_counts({"video_snapshots": adapters.silver(t),
-                              **{k: v for k, v in models.items() if k.startswith("gold_")}})
+                              **models})
 
 
 @query("alert_staleness", """
@@ -203,7 +204,7 @@ def alert_failures(t: Tables):
          (SELECT count(*) FROM gold_trending) AS daily_before, (SELECT count(*) FROM gold_trending) AS daily_after""")
 def idempotence_check(t: Tables):
     """Load everything twice through the keyed upsert; neither table may grow."""
-    table, rows = store.new_table(t.spark, "idempotence"), adapters.silver(t)
+    table, rows = store.daily_snapshot_table(t.spark, "idempotence"), adapters.silver(t)
     counts = []
     for when in ("before", "after"):
         table.merge(rows, SILVER_KEY)
@@ -211,7 +212,7 @@ def idempotence_check(t: Tables):
         models = marts.trending_daily(marts.latest_per_day(marts.stg_video_snapshots(stored)))
         counts += [stored.agg(F.count(F.lit(1)).alias(f"silver_{when}")),
                    models.agg(F.count(F.lit(1)).alias(f"daily_{when}"))]
-    return reduce(DataFrame.crossJoin, counts)
+    return attach(*counts)
 
 
 @query("rate_5m", """

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalog.commerce import ga
 from tidemark.operators.nearest import nearest
-from tidemark.operators.ordering import top_n
+from tidemark.operators.scalars import attach
 from tidemark.plans import commerce, growth, ranking, reco
 from tidemark.registry import query, view
 from tidemark.session import cut
@@ -218,7 +218,7 @@ def variants(t: Tables, events: DataFrame) -> DataFrame:
     fused = pool(past, neighbours(t), catalog)[0].select("user_pseudo_id", "item_id", "rank", F.lit("rrf").alias("variant"))
     users = past.select("user_pseudo_id").distinct()
     short = reco.popularity(past, catalog).where("scope = 'global'").agg(F.collect_list(F.struct("item_id", "rank")).alias("l"))
-    pop = users.crossJoin(F.broadcast(short)).select("user_pseudo_id", F.explode("l").alias("p")).select(
+    pop = users.transform(attach, short).select("user_pseudo_id", F.explode("l").alias("p")).select(
         "user_pseudo_id", "p.item_id", "p.rank", F.lit("pop").alias("variant"))
     return fused.unionByName(pop)
 
@@ -353,7 +353,7 @@ def next_item_eval(t: Tables):
         F.lit("lastitem").alias("variant"), *key, "item_id", "rank")
     short = reco.popularity(train(events), commerce.item_catalog(events)).where("scope = 'global' and rank <= 10").agg(
         F.collect_list(F.struct("item_id", "rank")).alias("l"))  # ten items
-    pop = samples.select(*key).crossJoin(F.broadcast(short)).select(*key, F.explode("l").alias("p")).select(
+    pop = samples.select(*key).transform(attach, short).select(*key, F.explode("l").alias("p")).select(
         F.lit("pop").alias("variant"), *key, "p.item_id", "p.rank")
     judged = samples.select(*key, F.col("target").alias("item_id"), F.lit(1).alias("grade"))
     return ranking.rank_metrics(last.unionByName(pop), judged, key)

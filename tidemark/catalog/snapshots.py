@@ -278,7 +278,7 @@ def reprocess_range(t: Tables):
     """Snapshots of an hour range again through the table and the daily mart, nothing fetched anew."""
     from tidemark.plans.pipeline import reprocess
     hours = landing.hour_list(start_hour="2024-01-10T00", end_hour="2024-01-12T23")
-    table = store.new_table(t.spark, "serving")
+    table = store.daily_snapshot_table(t.spark, "serving")
     source = adapters.silver(t)
     reprocess(source, table, hours)
     stg_rows = marts.stg_video_snapshots(reprocess(source, table, hours))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.catalog.commerce import ga
+from tidemark.operators.scalars import attach
 from tidemark.operators.sessions import overlaps, sessionize
 from tidemark.plans import commerce
 from tidemark.registry import query, view
@@ -57,8 +58,7 @@ def stream_source(t: Tables):
     replay.send(rows.unionByName(broken), "chunk-0000")
     out = ev.parse(t.spark.read.text(f"{replay.inbox}/*"))
     bad = t.spark.read.text(f"{replay.inbox}/*").where(F.from_json("value", ev.MESSAGE)["event_ts_micros"].isNull())
-    return out.agg(F.count(F.lit(1)).alias("good"), F.count_if("_replay.duplicate").alias("copies")).crossJoin(
-        bad.agg(F.count(F.lit(1)).alias("bad")))
+    return out.agg(F.count(F.lit(1)).alias("good"), F.count_if("_replay.duplicate").alias("copies")).transform(attach, bad.agg(F.count(F.lit(1)).alias("bad")))
 
 
 @query("stream_dedup", """

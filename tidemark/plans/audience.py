@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.ordering import top_n
+from tidemark.operators.scalars import attach
 from tidemark.sources.store import overwrite_partitions
 
 MAX_DEPTH, MAX_CONDITIONS, MAX_VALUES, MAX_TAGS = 3, 20, 100, 200
@@ -90,7 +91,7 @@ def preview(profiles: DataFrame, events: DataFrame, tree: Mapping, memberships:
     chosen = select(profiles, tree, memberships)
     row = lambda df, section, name, amount: df.select(F.lit(section).alias("section"), name.alias("name"),
                                                       amount.cast("double").alias("amount"))
-    size = profiles.agg(F.count(F.lit(1)).alias("base")).crossJoin(chosen.agg(F.count(F.lit(1)).alias("size")))
+    size = profiles.agg(F.count(F.lit(1)).alias("base")).transform(attach, chosen.agg(F.count(F.lit(1)).alias("size")))
     totals = size.select(F.expr("""stack(3, 'audience_size', cast(size as double), 'base_count', cast(base as double),
         'pct', round(size / base, 4)) AS (name, amount)""")).select(F.lit("total").alias("section"), "name", "amount")
     sample = row(chosen.orderBy("user_pseudo_id").limit(20), "sample", F.col("user_pseudo_id"), F.col("monetary_total"))
@@ -135,4 +136,4 @@ def latest_version(df: DataFrame, keys: list[str], version: str, tiebreak: list[
 def mirror_days(source: DataFrame, mirror: DataFrame, day: str) -> DataFrame:
     """The rows to load again: every day from the mirror's newest on, that day included."""
     mark = mirror.agg(F.max(day).alias("_mark"))
-    return source.crossJoin(F.broadcast(mark)).where(F.col("_mark").isNull() | (F.col(day) >= F.col("_mark"))).drop("_mark")
+    return source.transform(attach, mark).where(F.col("_mark").isNull() | (F.col(day) >= F.col("_mark"))).drop("_mark")

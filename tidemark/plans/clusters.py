@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import exact_round, ratio
 from tidemark.operators.ordering import ordered_prefix
+from tidemark.operators.scalars import attach
 
 # Vector order with the columns that are log-compressed, and names by rank of spend.
 FEATURES = [("recency_days", False), ("frequency_orders", False), ("monetary_total", True), ("engagement_score", True)]
@@ -36,7 +37,7 @@ def standardised(rows: DataFrame) -> DataFrame:
     cols = [f"x{i}" for i in range(len(FEATURES))]
     stats = rows.agg(*[F.avg(c).alias(f"m{c}") for c in cols], *[F.stddev_pop(c).alias(f"s{c}") for c in cols])
     scaled = {c: (F.col(c) - F.col(f"m{c}")) / F.when(F.col(f"s{c}") > 0, F.col(f"s{c}")).otherwise(1.0) for c in cols}
-    return rows.crossJoin(F.broadcast(stats)).withColumns(scaled).select("user_pseudo_id", *cols)
+    return rows.transform(attach, stats).withColumns(scaled).select("user_pseudo_id", *cols)
 
 
 def fit_clusters(profiles: DataFrame, ks: Sequence[int] = range(2, 7), seed: int = 42):
@@ -109,7 +110,7 @@ def adjusted_rand(counts: DataFrame, a: str, b: str, n: str) -> DataFrame:
     pairs = lambda c: F.sum(c.cast("double") * (c - 1) / 2)
     cells = counts.agg(pairs(F.col(n)).alias("cells"), F.sum(n).cast("double").alias("total"))
     side = lambda key, name: counts.groupBy(key).agg(F.sum(n).alias("m")).agg(pairs(F.col("m")).alias(name))
-    out = cells.crossJoin(side(a, "pa")).crossJoin(side(b, "pb"))
+    out = cells.transform(attach, side(a, "pa")).transform(attach, side(b, "pb"))
     expected = F.col("pa") * F.col("pb") / (F.col("total") * (F.col("total") - 1) / 2)
     most = (F.col("pa") + F.col("pb")) / 2
     return out.select(exact_round((F.col("cells") - expected) / F.nullif(most - expected, F.lit(0.0)), 6).alias("ari"))

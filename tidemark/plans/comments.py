@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions import text as tx
 from tidemark.functions.numeric import exact_round, ratio
 from tidemark.operators.ordering import first_per, ordered_prefix, top_n
+from tidemark.operators.scalars import attach
 from tidemark.plans.marts import latest_per_day
 from tidemark.sources.store import upsert
 
@@ -231,7 +232,7 @@ def text_invariants(comments: DataFrame, boards: DataFrame) -> DataFrame:
         F.count_if((F.col("like_count") < 0) | (F.col("total_reply_count") < 0)).alias("negative_counts"),
         F.count_if("is_reply").alias("replies"))
     per_board = boards.agg(F.count_if(F.col("push_total") + F.col("boo_total") > F.col("comments_total")).alias("push_boo_bounded"))
-    return per_comment.crossJoin(per_board).select(F.expr("""stack(4, 'plain_author', plain_author,
+    return per_comment.transform(attach, per_board).select(F.expr("""stack(4, 'plain_author', plain_author,
         'negative_counts', negative_counts, 'replies', replies, 'push_boo_bounded', push_boo_bounded)
         AS (check_name, offending_rows)"""))
 
@@ -273,5 +274,5 @@ def cohen_kappa(pairs: DataFrame, a: str, b: str) -> DataFrame:
     both = left.join(right, F.col("a") == F.col("b")).agg(F.sum(F.col("na").cast("double") * F.col("nb")).alias("e"))
     seen = cells.agg(F.sum("n").cast("double").alias("t"), F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).cast("double").alias("o"))
     po, pe = F.col("o") / F.col("t"), F.col("e") / (F.col("t") * F.col("t"))
-    return seen.crossJoin(both).select(F.col("t").cast("long").alias("items"), exact_round(po, 6).alias("observed"),
+    return seen.transform(attach, both).select(F.col("t").cast("long").alias("items"), exact_round(po, 6).alias("observed"),
                                        exact_round(pe, 6).alias("expected"), exact_round((po - pe) / F.nullif(1 - pe, F.lit(0.0)), 6).alias("kappa"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numeric import exact_round, ratio
+from tidemark.operators.scalars import attach
 
 # The funnel events kept, in funnel order.
 FUNNEL = ["view_item", "add_to_cart", "begin_checkout", "purchase"]
@@ -143,7 +144,7 @@ def user_rfm(events: DataFrame) -> DataFrame:
         F.sum(F.when(bought, F.coalesce(money("item_revenue"), F.lit(0))).otherwise(0)).alias("monetary_total"),
         F.max(F.when(bought, F.col("event_date"))).alias("last_purchase_date"),
     )
-    return out.crossJoin(F.broadcast(anchor(events))).withColumns({
+    return out.transform(attach, anchor(events)).withColumns({
         "recency_days": F.datediff("data_anchor_date", "last_purchase_date"),
         "aov": exact_round(F.col("monetary_total").cast("double")
                            / F.nullif(F.col("orders_count").cast("double"), F.lit(0.0)), 2),

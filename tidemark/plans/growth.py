@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.numeric import exact_round, ratio
 from tidemark.operators.ordering import ntile, ordered_prefix, ranked, top_n
 from tidemark.operators.pairs import frequent_pairs, rules
+from tidemark.operators.scalars import attach
 from tidemark.plans.commerce import money
 
 # Step names, bottleneck share, sources shown by name.
@@ -153,7 +154,7 @@ def _purchase_spells(orders: DataFrame, user: str, at: str) -> DataFrame:
     horizon = months.agg(F.max("m").alias("last_m"))
     w = Window.partitionBy("buyer").orderBy("m")
     return (months.withColumn("next_m", F.lead("m").over(w)).withColumn("is_first", F.lag("m").over(w).isNull())
-            .crossJoin(F.broadcast(horizon))
+            .transform(attach, horizon)
             .withColumn("until_m", F.least(F.coalesce(F.col("next_m") - 1, F.col("last_m")), F.col("last_m"))))
 
 
@@ -205,7 +206,7 @@ def product_pareto(catalog: DataFrame) -> DataFrame:
     rows = ordered_prefix(rows, [F.col("revenue_total").desc(), F.col("item_id").asc()],
                           running={"_upto": "revenue_total"})
     total = catalog.agg(F.sum("revenue_total").alias("_total"))
-    return (rows.crossJoin(F.broadcast(total))
+    return (rows.transform(attach, total)
             .withColumn("revenue_share", ratio(F.col("revenue_total"), F.col("_total"), 6))
             .withColumn("cum_revenue_share", ratio(F.col("_upto"), F.col("_total"), 6))
             .withColumn("in_top80", F.col("cum_revenue_share") <= 0.8)
@@ -236,7 +237,7 @@ def _journey_bounds(touches: DataFrame, buys: DataFrame, lookback_days: int, hal
     span = lookback_days * MICROS_PER_DAY
     newest = touches.agg(F.max("at").alias("_newest"))
     weight = F.pow(F.lit(2.0), (F.col("at") - F.col("_newest")) / F.lit(float(half_life_days * MICROS_PER_DAY)))
-    points = touches.crossJoin(F.broadcast(newest)).select(
+    points = touches.transform(attach, newest).select(
         "user_pseudo_id", "at", F.lit(1).alias("kind"), F.col("touch_id").cast("string").alias("id"),
         "channel", F.lit(None).cast("double").alias("revenue"), F.lit(1).alias("is_touch"), weight.alias("weight"))
     edge = lambda kind, at: buys.select(
@@ -382,7 +383,7 @@ def churn_scores(data: DataFrame, seed: int = 42, min_gain: float = 0.05) -> Dat
     pr_auc, name, model = best
     if model is None:  # the rule wins: publish its scores, scaled to 0..1
         top = data.agg(F.max("recency_obs").alias("_top"))
-        scored = data.crossJoin(F.broadcast(top)).withColumn("churn_probability", F.col("recency_obs") / F.greatest("_top", F.lit(1)))
+        scored = data.transform(attach, top).withColumn("churn_probability", F.col("recency_obs") / F.greatest("_top", F.lit(1)))
     else:
         scored = model.transform(data).withColumn("churn_probability", vector_to_array("probability")[1])
     p = F.col("churn_probability")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import exact_round, hours_between
@@ -147,15 +149,15 @@ def video_lifecycle(stg: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-def build_all(silver: DataFrame, categories: DataFrame) -> dict[str, DataFrame]:
-    """Every model in dependency order."""
+def build(silver: DataFrame, categories: DataFrame, names: Sequence[str] = tuple(LAYERS)) -> dict[str, DataFrame]:
+    """The asked models. Ranked marts place their rows when they are built, so only ask for what is needed."""
     stg, cats = stg_video_snapshots(silver), stg_categories(categories)
-    latest = latest_per_day(stg)
-    return {
-        "stg_video_snapshots": stg, "stg_categories": cats,
-        "gold_trending_daily": trending_daily(latest),
-        "gold_channel_performance": channel_performance(stg),
-        "gold_category_daily": category_daily(latest, cats),
-        "gold_video_velocity_hourly": velocity_hourly(stg),
-        "gold_video_lifecycle": video_lifecycle(stg, cats),
+    makers: dict[str, Callable[[], DataFrame]] = {
+        "stg_video_snapshots": lambda: stg, "stg_categories": lambda: cats,
+        "gold_trending_daily": lambda: trending_daily(latest_per_day(stg)),
+        "gold_channel_performance": lambda: channel_performance(stg),
+        "gold_category_daily": lambda: category_daily(latest_per_day(stg), cats),
+        "gold_video_velocity_hourly": lambda: velocity_hourly(stg),
+        "gold_video_lifecycle": lambda: video_lifecycle(stg, cats),
     }
+    return {name: makers[name]() for name in names}

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions import text as tx
 from tidemark.functions.numeric import exact_round, hours_between
 from tidemark.operators.ordering import ordered_prefix
+from tidemark.operators.scalars import attach
 from tidemark.plans.marts import velocity_unranked
 from tidemark.sources.store import upsert
 
@@ -138,7 +139,7 @@ def ks_statistic(rows: DataFrame, column: str, is_reference: Column) -> DataFram
     totals = counts.agg(F.sum("r").cast("double").alias("nr"), F.sum("c").cast("double").alias("nc"))
     upto = ordered_prefix(counts, [F.col("x").asc()], running={"fr": "r", "fc": "c"})
     gap = F.abs(F.col("fr") / F.col("nr") - F.col("fc") / F.col("nc"))
-    return upto.crossJoin(F.broadcast(totals)).agg(exact_round(F.max(gap), 6).alias("ks"))
+    return upto.transform(attach, totals).agg(exact_round(F.max(gap), 6).alias("ks"))
 
 
 def rolling_auc(scored: DataFrame, day: str, score: str, label: str, days: int = 7) -> DataFrame:
@@ -149,7 +150,7 @@ def rolling_auc(scored: DataFrame, day: str, score: str, label: str, days: int =
     last = scored.agg(F.max(day).alias("_last"))
     per_day = scored.groupBy(F.col(day).alias("_d"), F.col(score).alias("s")).agg(
         F.sum(F.col(label).cast("long")).alias("p"), F.sum(1 - F.col(label).cast("long")).alias("q"))
-    spread = per_day.crossJoin(F.broadcast(last)).withColumn(
+    spread = per_day.transform(attach, last).withColumn(
         "as_of", F.explode(F.sequence("_d", F.least(F.date_add("_d", days - 1), F.col("_last")))))
     per_score = spread.groupBy("as_of", "s").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
     below = ordered_prefix(per_score, [F.col("s").asc()], ["as_of"], {"qs": "q"})
@@ -161,5 +162,5 @@ def rolling_auc(scored: DataFrame, day: str, score: str, label: str, days: int =
 def drift_trigger(psis: DataFrame, aucs: DataFrame) -> DataFrame:
     newest = aucs.agg(F.max_by("auc", "as_of").cast("double").alias("auc"))
     moved = psis.agg(F.count_if(F.col("psi") > PSI_LIMIT).alias("features_moved"))
-    return moved.crossJoin(newest).withColumn(
+    return moved.transform(attach, newest).withColumn(
         "retrain", (F.col("features_moved") >= PSI_FEATURES) | F.coalesce(F.col("auc") < AUC_FLOOR, F.lit(False)))

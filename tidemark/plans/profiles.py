@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numeric import exact_round, ratio
 from tidemark.operators.ordering import first_per, ntile
+from tidemark.operators.scalars import attach
 from tidemark.plans.commerce import money
 
 USER = "user_pseudo_id"
@@ -65,7 +66,7 @@ def decay_weight(event: Column, age_days: Column, half_life: int = HALF_LIFE_DAY
 
 def weighted(events: DataFrame, anchor: DataFrame) -> DataFrame:
     """Events with their decayed weight; the anchor is the newest day, a one-row table."""
-    return events.crossJoin(F.broadcast(anchor)).withColumn(
+    return events.transform(attach, anchor).withColumn(
         "w", decay_weight(F.col("event_name"), F.datediff("data_anchor_date", "event_date")))
 
 
@@ -91,7 +92,7 @@ def majority(events: DataFrame, column: str, name: str) -> DataFrame:
 
 def user_profiles(events: DataFrame, rfm: DataFrame, sessions: DataFrame, catalog: DataFrame) -> DataFrame:
     """Every user of the RFM table, buyers and browsers, with scores only for buyers."""
-    anchor = rfm.select("data_anchor_date").limit(1)
+    anchor = rfm.agg(F.max("data_anchor_date").alias("data_anchor_date"))
     w_events = weighted(events, anchor)
     depth = sessions.groupBy(USER).agg(
         F.count(F.lit(1)).alias("funnel_sessions_count"),
@@ -139,7 +140,7 @@ def segment_summary(profiles: DataFrame, dimensions=("behavior_segment", "value_
         F.count(F.lit(1)).alias("users_count"), _mean("recency_days").alias("avg_recency_days"),
         _mean("frequency_orders").alias("avg_frequency_orders"), _mean("monetary_total").alias("avg_monetary"),
         F.sum(money("monetary_total")).alias("monetary_total"), F.max("data_anchor_date").alias("data_anchor_date"))
-    return (rows.crossJoin(F.broadcast(total))
+    return (rows.transform(attach, total)
             .withColumn("pct_of_purchasers", ratio(F.col("users_count"), F.col("_total"), 4)).drop("_total"))
 
 
@@ -171,11 +172,11 @@ def conservation(profiles: DataFrame, rfm: DataFrame) -> DataFrame:
         F.count_if(F.col("is_purchaser") != F.col("r_score").isNotNull()).alias("scores_iff_purchaser"),
         F.count_if((F.col("engagement_score") <= 0) | (F.col("preferred_category_score") < 0)).alias("decay_sanity"),
         F.count_if("is_purchaser").alias("_buyers"), F.count(F.lit(1)).alias("_users"))
-    parts = per_row.crossJoin(segment_summary(profiles).groupBy().agg(
+    parts = per_row.transform(attach, segment_summary(profiles).groupBy().agg(
         F.sum(F.when(F.col("dimension") == "behavior_segment", F.col("users_count"))).alias("_s1"),
         F.sum(F.when(F.col("dimension") == "value_tier", F.col("users_count"))).alias("_s2")))
-    parts = parts.crossJoin(rfm_grid(profiles).agg(F.sum("users_count").alias("_grid"), F.count(F.lit(1)).alias("_cells")))
-    parts = parts.crossJoin(rfm.agg(F.count(F.lit(1)).alias("_rfm")))
+    parts = parts.transform(attach, rfm_grid(profiles).agg(F.sum("users_count").alias("_grid"), F.count(F.lit(1)).alias("_cells")))
+    parts = parts.transform(attach, rfm.agg(F.count(F.lit(1)).alias("_rfm")))
     return parts.select(F.expr("""stack(5, 'scores_iff_purchaser', scores_iff_purchaser, 'decay_sanity', decay_sanity,
         'segment_totals', abs(_s1 - _buyers) + abs(_s2 - _buyers),
         'rfm_grid_conservation', abs(_grid - _buyers) + greatest(_cells - 25, 0L),

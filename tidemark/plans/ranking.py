@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import exact_round
+from tidemark.operators.scalars import attach
 
 
 def rank_metrics(ranked: DataFrame, judged: DataFrame, keys: Sequence[str], k: int = 10,
@@ -31,7 +32,7 @@ def rank_metrics(ranked: DataFrame, judged: DataFrame, keys: Sequence[str], k: i
         F.count_if(rel).alias("relevant"),
         F.sum(F.when(F.col("_i") <= k, gain / F.log2(F.col("_i") + 1))).alias("idcg"))
     variants = F.array_sort(F.collect_set("variant"))
-    every = ideal.crossJoin(F.broadcast(ranked.agg(variants.alias("_v")))).withColumn("variant", F.explode("_v")).drop("_v")
+    every = ideal.transform(attach, ranked.agg(variants.alias("_v"))).withColumn("variant", F.explode("_v")).drop("_v")
     rows = every.join(got, ["variant", *keys], "left").na.fill(0)
     per_query = {
         "hit": (F.col("hits") > 0).cast("double"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import exact_round
 from tidemark.operators.ordering import top_n
+from tidemark.operators.scalars import attach
 from tidemark.operators.sessions import numbered, trailing
 
 USER = "user_pseudo_id"
@@ -89,7 +90,7 @@ def decayed(events: DataFrame, anchor: DataFrame) -> DataFrame:
     """Per (user, item): decayed weight, exact when summed."""
     age = F.datediff("data_anchor_date", "event_date")
     w = (by_event(WEIGHTS) * F.exp(-age / F.lit(float(DECAY_DAYS)))).cast("decimal(20,12)")
-    return events.crossJoin(F.broadcast(anchor)).groupBy(USER, "item_id").agg(F.sum(w).alias("w"))
+    return events.transform(attach, anchor).groupBy(USER, "item_id").agg(F.sum(w).alias("w"))
 
 
 def user_vectors(interest: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -125,7 +126,7 @@ def candidate_lists(seed_items: DataFrame, neighbours: DataFrame, popular: DataF
     if popular is not None:
         users = seed_items.select(USER).distinct()
         short = popular.where("scope = 'global'").agg(F.collect_list(F.struct("item_id", "rank")).alias("list"))  # at most POPULAR
-        out = out.unionByName(users.crossJoin(F.broadcast(short)).select(USER, F.explode("list").alias("p"))
+        out = out.unionByName(users.transform(attach, short).select(USER, F.explode("list").alias("p"))
                               .select(USER, "p.item_id", "p.rank", F.lit("pop").alias("source")))
     return out
 
@@ -230,7 +231,7 @@ def ab_replay(events: DataFrame, personal: DataFrame, popular: DataFrame, k: int
                       [F.col("event_name"), F.col("item_id")]).withColumn("arm", ab_arm(F.col(USER))))
     top = popular.where((F.col("scope") == "global") & (F.col("rank") <= k)).agg(F.collect_set("item_id").alias("_pop"))  # k items
     mine = personal.where(F.col("rank") <= k).select(USER, "item_id", F.lit(True).alias("_mine"))
-    rest = asked.where("pos > 1").join(mine, [USER, "item_id"], "left").crossJoin(F.broadcast(top))
+    rest = asked.where("pos > 1").join(mine, [USER, "item_id"], "left").transform(attach, top)
     hit = F.when(F.col("arm") == "A", F.coalesce("_mine", F.lit(False))).otherwise(F.array_contains("_pop", F.col("item_id")))
     judged = rest.withColumn("_hit", hit).groupBy(USER, "ga_session_id").agg(
         F.bool_or("_hit").alias("hit_any"), F.bool_or(F.col("_hit") & (F.col("event_name") == "purchase")).alias("hit_purchase"))

@@ -10,6 +10,7 @@ from tidemark.functions import text as tx
 from tidemark.functions.numeric import exact_round
 from tidemark.operators.nearest import nearest
 from tidemark.operators.ordering import first_per, top_n
+from tidemark.operators.scalars import attach
 from tidemark.session import cut
 
 # Chunk size and step, smallest text kept, candidates per arm, fusion constant, scoring constants.
@@ -53,7 +54,7 @@ def lexical(units: DataFrame, queries: DataFrame, ident: str = "chunk_id", text:
     df = kept.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.col("_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("unit_len") / F.col("_avg")))
-    weights = asked.join(df, "term").crossJoin(F.broadcast(stats)).select("query_id", "term", idf.alias("idf"), "_avg")
+    weights = asked.join(df, "term").transform(attach, stats).select("query_id", "term", idf.alias("idf"), "_avg")
     scored = kept.join(weights, "term").groupBy("query_id", "unit").agg(
         F.sum((F.col("idf") * norm).cast("decimal(20,12)")).alias("_s"))
     scored = scored.select("query_id", "unit", exact_round(F.col("_s"), 6).alias("score"))
@@ -116,8 +117,7 @@ def corpus_stats(documents: DataFrame) -> DataFrame:
     row = lambda df, kind: df.select(F.lit(kind).alias("kind"), F.col("name").cast("string").alias("name"), F.col("amount").cast("long").alias("amount"))
     by_len = kept.groupBy(edge.alias("name")).agg(F.count(F.lit(1)).alias("amount"))
     by_source = kept.groupBy(F.col("source").alias("name")).agg(F.count(F.lit(1)).alias("amount"))
-    totals = kept.agg(F.count(F.lit(1)).alias("documents"), F.sum(n).cast("long").alias("chunks")).crossJoin(
-        documents.agg(F.count(F.lit(1)).alias("given")))
+    totals = kept.agg(F.count(F.lit(1)).alias("documents"), F.sum(n).cast("long").alias("chunks")).transform(attach, documents.agg(F.count(F.lit(1)).alias("given")))
     totals = totals.select(F.expr("stack(3, 'documents', documents, 'chunks', chunks, 'filtered_out', given - documents) AS (name, amount)"))
     return row(by_len, "length_from").unionByName(row(by_source, "source")).unionByName(row(totals, "total"))
 

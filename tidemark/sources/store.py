@@ -7,11 +7,11 @@ only once its success marker is written.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.session import scratch_path
+from tidemark.session import cut, scratch_path
 
 HOUR_PARTITION = "captured_hour"
 
@@ -71,19 +71,66 @@ def range_scan(df: DataFrame, start: Column, end: Column, columns: Sequence[str]
     return out
 
 
+def refuse_duplicates(batch: DataFrame, keys: Sequence[str]) -> None:
+    if not batch.groupBy(*keys).count().where("count > 1").isEmpty():
+        raise DuplicateKeys(f"batch has more than one row for a key of {list(keys)}")
+
+
+def merge_into(target: str, batch: DataFrame, keys: Sequence[str]) -> None:
+    """The same upsert as one statement, for table formats that support it."""
+    (batch.alias("batch").mergeInto(target, F.expr(" and ".join(f"{target}.{k} = batch.{k}" for k in keys)))
+     .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+
+
 def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], check_keys: bool = True) -> DataFrame:
     """``batch`` rows replace ``base`` rows with equal keys; all others stay.
 
     A batch with two rows for one key is refused, as a keyed upsert statement refuses it.
     """
-    if check_keys and not batch.groupBy(*keys).count().where("count > 1").isEmpty():
-        raise DuplicateKeys(f"batch has more than one row for a key of {list(keys)}")
+    if check_keys:
+        refuse_duplicates(batch, keys)
     batch = batch.select(*base.columns)
     return base.join(batch.select(*keys), list(keys), "left_anti").select(*base.columns).unionByName(batch)
 
 
+class PartitionedTable:
+    """A partitioned folder with keyed merges that read and rewrite only the partitions a batch touches."""
+
+    def __init__(self, spark: SparkSession, root: str, partitions: Mapping[str, Column]) -> None:
+        self.spark, self.root, self.partitions = spark, root.rstrip("/"), dict(partitions)
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        self._path, self._fs = path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self._fs.exists(self._path)
+
+    def read(self) -> DataFrame:
+        kept = self.spark.read.schema(self._schema()).parquet(self.root)
+        return kept.drop(*[p for p in self.partitions if p.startswith("_")])
+
+    def _schema(self) -> T.StructType:
+        found = self.spark.read.parquet(self.root).schema
+        return T.StructType([T.StructField(f.name, T.StringType()) if f.name in self.partitions else f for f in found])
+
+    def merge(self, batch: DataFrame, keys: Sequence[str]) -> None:
+        """Replace rows with equal keys, add the others. The key must fix the partition.
+
+        The merged partitions are cut off from the table before they replace it, so a lost
+        executor cannot read half-written data.
+        """
+        batch = batch.withColumns({n: c for n, c in self.partitions.items() if n not in batch.columns})
+        if self.exists():
+            stored = self.spark.read.schema(self._schema()).parquet(self.root)
+            touched = batch.select(*self.partitions).distinct()  # one row per partition of the batch
+            batch = cut(upsert(stored.join(touched, list(self.partitions), "left_semi"), batch, keys))
+        else:
+            refuse_duplicates(batch, keys)
+        overwrite_partitions(batch, self.root, list(self.partitions))
+
+
 class VersionedTable:
-    """A folder of table versions with a pointer to the current one."""
+    """A folder of table versions; the newest finished one is current. For tables small enough to rewrite."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -116,3 +163,14 @@ class VersionedTable:
 
 def new_table(spark: SparkSession, name: str) -> VersionedTable:
     return VersionedTable(spark, scratch_path(spark, name))
+
+
+def snapshot_table(spark: SparkSession, name: str) -> PartitionedTable:
+    """Snapshots by region and hour, the layout of the typed table."""
+    return PartitionedTable(spark, scratch_path(spark, name), {
+        "region": F.col("region"), "_hour": F.date_format("captured_at", "yyyyMMddHH")})
+
+
+def daily_snapshot_table(spark: SparkSession, name: str) -> PartitionedTable:
+    """The same by day, where an hour holds too little for a file of its own."""
+    return PartitionedTable(spark, scratch_path(spark, name), {"_day": F.date_format("captured_at", "yyyyMMdd")})

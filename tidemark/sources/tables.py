@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
