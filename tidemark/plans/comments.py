@@ -171,7 +171,8 @@ def parse_pages(pages: DataFrame, fallback_date: Column) -> DataFrame:
     """Article pages to columns: category from the title, author split, counts of marks, typed time."""
     raw = pages.select("page_id", "html").mapInPandas(_parse_batches, schema=PARSED)
     mark = lambda m: F.size(F.filter("marks", lambda x: x == m))
-    posted = F.try_to_timestamp(F.regexp_replace("posted", r"^[A-Za-z]{3} ", ""), F.lit("MMM d HH:mm:ss yyyy"))
+    posted = F.try_to_timestamp(F.regexp_replace(F.regexp_replace("posted", r"^[A-Za-z]{3} +", ""), " +", " "),
+                                F.lit("MMM d HH:mm:ss yyyy"))
     out = raw.select(
         "page_id", "title", F.nullif(F.regexp_extract("title", r"\[([^\]]+)\]", 1), F.lit("")).alias("category"),
         F.nullif(F.trim(F.regexp_replace("author", r"\(.*$", "")), F.lit("")).alias("author_id"),

@@ -278,12 +278,13 @@ def attribution(touches: DataFrame, buys: DataFrame, lookback_days: int = 30, ha
     step = lambda idx, sign: seen.select("user_pseudo_id", F.col(idx).alias("idx"), *[
         (F.lit(sign) * e).alias(n) for n, e in (
             ("lin_r", F.col("revenue") / F.col("touches")), ("lin_c", F.lit(1.0) / F.col("touches")),
-            ("dec_r", F.col("revenue") / F.col("weights")), ("dec_c", F.lit(1.0) / F.col("weights")))])
-    sums = ["lin_r", "lin_c", "dec_r", "dec_c"]
+            ("dec_r", F.col("revenue") / F.col("weights")), ("dec_c", F.lit(1.0) / F.col("weights")), ("cover", F.lit(1.0)))])
+    sums = ["lin_r", "lin_c", "dec_r", "dec_c", "cover"]
     steps = (step("upto", 1.0).unionByName(step("before", -1.0)).where("idx > 0")
              .groupBy("user_pseudo_id", "idx").agg(*[F.sum(c).alias(c) for c in sums]))
     rows = (numbered.join(steps, ["user_pseudo_id", "idx"], "left").na.fill(0.0, sums))
     shared = ordered_prefix(rows, [F.col("idx").desc()], ["user_pseudo_id"], {f"u_{c}": c for c in sums})
+    shared = shared.where("u_cover > 0")  # touches no conversion saw get no credit row
     credit = lambda model, r, c: F.struct(F.lit(model).alias("model"), r.alias("r"), c.alias("c"))
     w = F.col("weight")
     spread = shared.select("channel", F.explode(F.array(
