@@ -66,11 +66,13 @@ def duration_seconds(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-cased words; runs of Han characters become overlapping pairs, the same for texts and queries."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{IsHan}]+|[\p{L}\p{N}&&[^\p{IsHan}]]+)"), 1)
+    low = F.lower(text)
+    plain = F.regexp_extract_all(low, F.lit(r"([\p{L}\p{N}]+)"), 1)
+    mixed = F.regexp_extract_all(low, F.lit(r"([\p{IsHan}]+|[\p{L}\p{N}&&[^\p{IsHan}]]+)"), 1)
     pairs = lambda w: F.when(
         w.rlike(r"^\p{IsHan}") & (F.length(w) > 2),
         F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2)))).otherwise(F.array(w))
-    return F.flatten(F.transform(words, pairs))
+    return F.when(text.rlike(r"\p{IsHan}"), F.flatten(F.transform(mixed, pairs))).otherwise(plain)
 
 
 def mask_personal(text: Column) -> Column:

@@ -11,6 +11,7 @@ from tidemark.operators.ordering import ntile, ordered_prefix, ranked, top_n
 from tidemark.operators.pairs import frequent_pairs, rules
 from tidemark.operators.scalars import attach
 from tidemark.plans.commerce import money
+from tidemark.session import cut
 
 # Step names, bottleneck share, sources shown by name.
 STEPS = ["sessions", "view_item", "add_to_cart", "begin_checkout", "purchase"]
@@ -234,6 +235,7 @@ def _journey_bounds(touches: DataFrame, buys: DataFrame, lookback_days: int, hal
     rows in the same ordering, so the run is (count at lower edge, count at p]: no touch is ever
     paired with a conversion, and a hot user spreads over many tasks.
     """
+    touches, buys = cut(touches), cut(buys)  # both are read twice below
     span = lookback_days * MICROS_PER_DAY
     newest = touches.agg(F.max("at").alias("_newest"))
     weight = F.pow(F.lit(2.0), (F.col("at") - F.col("_newest")) / F.lit(float(half_life_days * MICROS_PER_DAY)))

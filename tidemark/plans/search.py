@@ -15,6 +15,7 @@ from tidemark.session import cut
 
 # Chunk size and step, smallest text kept, candidates per arm, fusion constant, scoring constants.
 CHUNK, OVERLAP, MIN_CHARS, ARM, RRF_K, K1, B = 800, 100, 20, 40, 60, 1.2, 0.75
+FIXED = 1e12  # scores are summed in units of 1e-12
 LENGTH_EDGES = [0, 100, 400, 800, 1600, 3200, 6400, 12800, 25600]
 
 
@@ -56,8 +57,8 @@ def lexical(units: DataFrame, queries: DataFrame, ident: str = "chunk_id", text:
     norm = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("unit_len") / F.col("_avg")))
     weights = asked.join(df, "term").transform(attach, stats).select("query_id", "term", idf.alias("idf"), "_avg")
     scored = kept.join(weights, "term").groupBy("query_id", "unit").agg(
-        F.sum((F.col("idf") * norm).cast("decimal(20,12)")).alias("_s"))
-    scored = scored.select("query_id", "unit", exact_round(F.col("_s"), 6).alias("score"))
+        F.sum(F.round(F.col("idf") * norm * FIXED).cast("long")).alias("_s"))  # whole numbers: any order of rows gives one sum
+    scored = scored.select("query_id", "unit", exact_round(F.col("_s") / F.lit(FIXED), 6).alias("score"))
     order = [F.col("score").desc(), F.col("unit").asc()]
     return top_n(scored, ["query_id"], order, top) if top else scored
 

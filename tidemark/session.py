@@ -19,11 +19,18 @@ ADVISED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # no broadcast on estimates: a side is broadcast only once its shuffled size is known to be
+    # small, or where the code says why its size is bounded
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Settings that only take effect when the session starts.
+AT_START = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in {**REQUIRED, **ADVISED}.items():
@@ -35,7 +42,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED, **ADVISED, **conf}.items():
+    for key, value in {**REQUIRED, **ADVISED, **AT_START, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
