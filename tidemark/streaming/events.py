@@ -229,11 +229,24 @@ class Replay:
         stream = features(file_source(self.spark, self.inbox, max_files))
         writer = stream.writeStream.outputMode("append").option("checkpointLocation", self.state).trigger(availableNow=True)
         writer = writer.foreachBatch(sink) if sink else writer.format("parquet").option("path", self.out)
-        query = writer.start()
+        query = self._start(writer)
         query.awaitTermination()
         self.progress += [p.asDict() if hasattr(p, "asDict") else p for p in query.recentProgress]
         return stream.schema
 
+    def _start(self, writer):
+        """Start with no more state partitions than the cluster has cores to work on them.
+
+        The number is kept in the checkpoint from the first run on.
+        """
+        conf, name = self.spark.conf, "spark.sql.shuffle.partitions"
+        asked = conf.get(name)
+        conf.set(name, str(min(int(asked), max(1, self.spark.sparkContext.defaultParallelism))))
+        try:
+            return writer.start()
+        finally:
+            conf.set(name, asked)
+
     def replay(self, rows: DataFrame, features: Callable[[DataFrame], DataFrame],
                cuts: Sequence[str] = (), sink: Callable[[DataFrame, int], None] | None = None) -> DataFrame | None:
         """Send the rows in chunks split at ``cuts`` (timestamps), close, and read the result table."""
