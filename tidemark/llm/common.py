@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import scratch_path, shared_folder
 
-SPACES = " \t\n\x0b\x0c\r"  # the six characters between words: \x20 and \x09-\x0D
-WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
-
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -41,10 +37,7 @@ def fold(id_col: str | Column, parts: int) -> Column:
 
 def word_count(text: Column) -> Column:
     """Words between spaces and the five control characters; null counts 0."""
-    cleaned = F.translate(text, SPACES[1:], " " * 5)
-    starts = F.length(F.regexp_replace(F.concat(F.lit(" "), cleaned), "(?s)( *)[^ ]+", "x"))
-    tail = F.when(cleaned.endswith(" ") | (cleaned == ""), F.length(F.regexp_extract(F.concat(F.lit(" "), cleaned), "( +)$", 1))).otherwise(0)
-    return F.coalesce(starts - tail, F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -59,10 +52,6 @@ def utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
-def crc(data: bytes) -> int:
-    return zlib.crc32(data)
-
-
 def small_batches(batches: Iterator, rows: int = 2000) -> Iterator:
     """The same rows in frames of at most ``rows``."""
     for frame in batches:

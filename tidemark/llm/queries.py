@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.bpe import encode_decode
+from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +54,26 @@ FROM s LEFT JOIN t ON t.a = s.doc_id
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at 85 of 100 shared 3-word shingles."""
     return near_duplicates(_table(spark, sf_dir, "documents"), k=3, similar=(85, 100))
+
+
+@query("op5_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded; digests of ids and of the decoded text."""
+    coded = encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@query("op9_warc")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to seekable archives and read back."""
+    rows = round_trip(_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document by the mix of its source."""
+    mixed = mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate", "source")
