@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.bpe import encode_decode
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.topk_search import top_k
 from tidemark.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix of its source."""
     mixed = mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate", "source")
+
+
+@query("op6_topk_search", """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * x::DOUBLE) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v))
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest integer inner products of every twentieth vector."""
+    return top_k(_table(spark, sf_dir, "embeddings"))
