@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.bpe import encode_decode
+from tidemark.llm.common import fold
+from tidemark.llm.language_id import train_and_identify
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.quality_rules import judge
 from tidemark.llm.topk_search import top_k
 from tidemark.llm.warc import round_trip
 
@@ -95,3 +98,17 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_numb
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest integer inner products of every twentieth vector."""
     return top_k(_table(spark, sf_dir, "embeddings"))
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from two of three folds."""
+    docs = _table(spark, sf_dir, "documents")
+    found = train_and_identify(docs, fold("doc_id", 3) != 1)
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_quality_rules")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the rules' verdict on every text."""
+    return judge(_table(spark, sf_dir, "documents"))
