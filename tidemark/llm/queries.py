@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm import lm_scoring, quality_classifier
 from tidemark.llm.bpe import encode_decode
 from tidemark.llm.common import fold
 from tidemark.llm.language_id import train_and_identify
@@ -112,3 +113,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the rules' verdict on every text."""
     return judge(_table(spark, sf_dir, "documents"))
+
+
+@query("op1_lm_scoring")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's loss under a model of the texts labelled good, against that of all texts."""
+    good = _table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_scoring.difference(_table(spark, sf_dir, "documents"), good)
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by its nearest labelled texts of three of four folds."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    found = quality_classifier.score(docs, model)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
