@@ -11,6 +11,7 @@ from tidemark.llm import lm_scoring, quality_classifier
 from tidemark.llm.bpe import encode_decode
 from tidemark.llm.common import fold
 from tidemark.llm.language_id import train_and_identify
+from tidemark.llm.line_dedup import line_classes
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.quality_rules import judge
@@ -129,3 +130,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
     found = quality_classifier.score(docs, model)
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op3_line_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every line, and whether it is the one kept."""
+    found = line_classes(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "line_no", "class_doc_id", "class_line_no", "kept")
