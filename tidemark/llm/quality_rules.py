@@ -152,7 +152,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     patterns = {r["votes"]: r["n"] for r in cast.groupBy("votes").agg(F.count("*").alias("n")).collect()}  # 3 ** len(RULES) at most
     prior, table = estimate(patterns)
     keys = sorted(patterns)
-    good = posterior(np.array([["+0-".index(c) for c in k] for k in keys]).reshape(len(keys), len(RULES)), prior, table)
+    kinds = np.array([["+0-".index(c) for c in k] for k in keys], dtype=int).reshape(len(keys), len(RULES))
+    good = posterior(kinds, prior, table)
     known = docs.sparkSession.createDataFrame([(k, float(p)) for k, p in zip(keys, good)], "votes string, posterior double")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = cast.join(F.broadcast(known), "votes").withColumn("base_failed", failed)
