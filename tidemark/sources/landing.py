@@ -1,62 +1,48 @@
-"""Raw landing documents: one JSON envelope per page of a region-hour."""
+"""Raw landing documents: JSON envelopes in folders named by region, date and hour."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.schemas import CATEGORY_ENVELOPE, ENVELOPE, SOURCE_NAME
 
-_HOUR = "%Y-%m-%dT%H"
-
-
-def _utc_hour(text: str) -> datetime:
-    return datetime.strptime(text, _HOUR).replace(tzinfo=timezone.utc)
+# The layout of keys and of the envelope's times
+HOURLY, DAILY = "%s/region=%s/date=%s/hour=%s/%s", "%s/region=%s/date=%s/%s"
+LOGICAL, STAMP, INGESTED = "yyyy-MM-dd'T'HH:mm:ssxxx", "yyyyMMddHH", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 def hour_list(date: str | None = None, hour: str | None = None,
               start_hour: str | None = None, end_hour: str | None = None) -> list[datetime]:
-    """Job arguments to UTC hours: one hour, or an inclusive range."""
-    if date and hour is not None:
-        first = last = _utc_hour(f"{date}T{hour}")
-    else:
-        first, last = _utc_hour(start_hour), _utc_hour(end_hour)
-    if last < first:
-        raise ValueError(f"range ends before it starts: {first:{_HOUR}} > {last:{_HOUR}}")
-    return [first + timedelta(hours=i) for i in range(int((last - first) / timedelta(hours=1)) + 1)]
-
-
-def hour_frame(spark: SparkSession, first: Column, last: Column) -> DataFrame:
-    """The same inclusive hour range as rows."""
-    return spark.range(1).select(
-        F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("logical_hour"))
+    """The UTC hours a job is asked for, by a day and an hour or by the first and the last one."""
+    bounds = (start_hour, end_hour) if date is None or hour is None else (f"{date}T{hour}",) * 2
+    hours = pd.date_range(*[pd.to_datetime(b, format="%Y-%m-%dT%H", utc=True) for b in bounds], freq="h")
+    if hours.empty:
+        raise ValueError(f"no hour from {bounds[0]} to {bounds[1]}")
+    return [h.to_pydatetime() for h in hours]
 
 
 def landing_paths(root: str, hours: Sequence[datetime]) -> list[str]:
-    """Globs that read only the asked hours, in every region."""
-    return [f"{root}/region=*/date={h:%Y-%m-%d}/hour={h:%H}/*.json" for h in hours]
+    """One pattern an hour, over all regions, so that no other hour is listed."""
+    folders = pd.DatetimeIndex(hours).strftime("date=%Y-%m-%d/hour=%H")
+    return [f"{root}/region=*/{folder}/*.json" for folder in folders]
 
 
 def landing_key(prefix: Column, region: Column, hour: Column, filename: str, with_hour: bool = True) -> Column:
-    """A key that depends on the logical hour only, so a rerun overwrites."""
-    parts = [prefix, F.concat(F.lit("region="), region),
-             F.concat(F.lit("date="), F.date_format(hour, "yyyy-MM-dd"))]
-    if with_hour:
-        parts.append(F.concat(F.lit("hour="), F.date_format(hour, "HH")))
-    return F.concat_ws("/", *parts, F.lit(filename))
+    """Where a document lands. Nothing but its region and logical hour matter, so a rerun replaces it."""
+    day, clock, name = F.to_date(hour).cast("string"), F.lpad(F.hour(hour).cast("string"), 2, "0"), F.lit(filename)
+    return F.format_string(HOURLY, prefix, region, day, clock, name) if with_hour else F.format_string(DAILY, prefix, region, day, name)
 
 
 def metadata(region: Column, logical_hour: Column, ingested_at: Column) -> Column:
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
-    return F.struct(
-        region.alias("region"),
-        F.date_format(logical_hour, "yyyy-MM-dd'T'HH:mm:ssxxx").alias("logical_hour"),
-        F.concat_ws("_", region, F.date_format(logical_hour, "yyyyMMddHH")).alias("ingestion_id"),
-        F.date_format(ingested_at, iso).alias("ingested_at"),
-        F.lit(SOURCE_NAME).alias("source"),
-    )
+    """The envelope's head."""
+    ident = F.format_string("%s_%s", region, F.date_format(logical_hour, STAMP))
+    fields = {"region": region, "logical_hour": F.date_format(logical_hour, LOGICAL), "ingestion_id": ident,
+              "ingested_at": F.date_format(ingested_at, INGESTED), "source": F.lit(SOURCE_NAME)}
+    return F.struct(*[value.alias(name) for name, value in fields.items()])
 
 
 def write_documents(df: DataFrame, path: str, partitions: Sequence[str] = ("region", "date", "hour")) -> None:
@@ -83,5 +69,5 @@ def category_rows(envelopes: DataFrame, updated_at: Column) -> DataFrame:
              F.col("item.snippet.title").alias("category_name"), "updated_at")
 
 
-__all__ = ["CATEGORY_ENVELOPE", "ENVELOPE", "category_rows", "hour_frame", "hour_list", "landing_key",
+__all__ = ["CATEGORY_ENVELOPE", "ENVELOPE", "category_rows", "hour_list", "landing_key",
            "landing_paths", "metadata", "read_documents", "write_documents"]
