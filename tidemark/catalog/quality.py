@@ -293,9 +293,9 @@ def dash_category_share(t: Tables):
   WHERE trending_date = (SELECT max(trending_date) FROM gold_trending)""")
 def dash_daily_overview(t: Tables):
     """Only the newest day is deduped and rolled up: the day filter reaches the scan."""
-    raw = adapters.raw_snapshots(t).select(*SILVER_COLUMNS)
-    newest = raw.agg(F.max(F.to_date("captured_at")).alias("_day"))  # one row
-    rows = raw.join(F.broadcast(newest), F.to_date("captured_at") == F.col("_day")).drop("_day")
-    last_day = marts.stg_video_snapshots(dedupe(rows))
+    newest = t.events.agg(F.max("ts").alias("ts")).select(  # one row, from the files' statistics where they have them
+        *[F.date_format(F.date_add(F.to_date("ts"), n), "yyyy-MM-dd 00:00:00") for n in (0, 1)]).first()
+    day = t.within("events", "ts", *newest) if newest[0] else t
+    last_day = marts.stg_video_snapshots(dedupe(adapters.raw_snapshots(day).select(*SILVER_COLUMNS)))
     return marts.trending_daily(marts.latest_per_day(last_day)).agg(
         F.sum("total_views").alias("total_views"), F.sum("total_videos").alias("total_videos"))

@@ -94,7 +94,10 @@ def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], check_keys: b
 
 
 class PartitionedTable:
-    """A partitioned folder with keyed merges that read and rewrite only the partitions a batch touches."""
+    """A partitioned folder with keyed merges that read and rewrite only the partitions a batch touches.
+
+    Partition columns are never null.
+    """
 
     def __init__(self, spark: SparkSession, root: str, partitions: Mapping[str, Column]) -> None:
         self.spark, self.root, self.partitions = spark, root.rstrip("/"), dict(partitions)
@@ -116,14 +119,20 @@ class PartitionedTable:
     def merge(self, batch: DataFrame, keys: Sequence[str]) -> None:
         """Replace rows with equal keys, add the others. The key must fix the partition.
 
-        The merged partitions are cut off from the table before they replace it, so a lost
-        executor cannot read half-written data.
+        The batch is evaluated once; the values of its partitions, one row each, prune the stored table
+        before any file is listed. The merged partitions are cut off from the table before they replace
+        it, so a lost executor cannot read half-written data.
         """
-        batch = batch.withColumns({n: c for n, c in self.partitions.items() if n not in batch.columns})
+        batch = cut(batch.withColumns({n: c for n, c in self.partitions.items() if n not in batch.columns}))
         if self.exists():
+            touched = batch.select(*self.partitions).distinct().collect()
             stored = self.spark.read.schema(self._schema()).parquet(self.root)
-            touched = batch.select(*self.partitions).distinct()  # one row per partition of the batch
-            batch = cut(upsert(stored.join(touched, list(self.partitions), "left_semi"), batch, keys))
+            for name in self.partitions:
+                stored = stored.where(F.col(name).isin(sorted({r[name] for r in touched})))
+            if len(self.partitions) > 1:
+                pairs = F.array(*[F.struct(*[F.lit(r[n]).alias(n) for n in self.partitions]) for r in touched])
+                stored = stored.where(F.array_contains(pairs, F.struct(*self.partitions)))
+            batch = cut(upsert(stored, batch, keys))
         else:
             refuse_duplicates(batch, keys)
         overwrite_partitions(batch, self.root, list(self.partitions))
