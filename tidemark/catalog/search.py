@@ -23,11 +23,12 @@ view("sx_chunks", """
 
 
 def _bm25(units: str, ident: str, text: str) -> str:
-    return f"""WITH w AS (SELECT {ident} AS unit, len({_TOK(text)}) AS unit_len, unnest({_TOK(text)}) AS term FROM {units}),
-      p AS (SELECT unit, unit_len, term, count(*) AS tf FROM w GROUP BY ALL),
-      st AS (SELECT count(*)::double AS docs, avg(len({_TOK(text)})) AS avg_len FROM {units}),
-      df AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
-      q AS (SELECT DISTINCT item_id AS query_id, term FROM (SELECT item_id, unnest({_TOK('text')}) AS term FROM benchmark)),
+    return f"""WITH tok AS MATERIALIZED (SELECT {ident} AS unit, {_TOK(text)} AS ws FROM {units}),
+      q AS MATERIALIZED (SELECT DISTINCT item_id AS query_id, term FROM (SELECT item_id, unnest({_TOK('text')}) AS term FROM benchmark)),
+      w AS (SELECT unit, len(ws) AS unit_len, unnest(ws) AS term FROM tok),
+      p AS MATERIALIZED (SELECT unit, unit_len, term, count(*) AS tf FROM w WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+      st AS MATERIALIZED (SELECT count(*)::double AS docs, avg(len(ws)) AS avg_len FROM tok),
+      df AS MATERIALIZED (SELECT term, count(*) AS df FROM p GROUP BY 1),
       s AS (SELECT query_id, unit, round(sum((ln(1 + (docs - df + 0.5::double) / (df + 0.5::double)) * (tf * 2.2::double / (tf + 1.2::double * (0.25::double + 0.75::double * unit_len / avg_len))))::decimal(20,12))::decimal(38,12), 6) AS score
             FROM q JOIN df USING (term) JOIN p USING (term), st GROUP BY 1, 2)
       SELECT query_id, unit, score::double AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, unit) AS rank FROM s)"""

@@ -15,6 +15,7 @@ from tidemark.session import cut
 
 # Chunk size and step, smallest text kept, candidates per arm, fusion constant, scoring constants.
 CHUNK, OVERLAP, MIN_CHARS, ARM, RRF_K, K1, B = 800, 100, 20, 40, 60, 1.2, 0.75
+FEW_TERMS = 200_000  # distinct query terms up to which they are broadcast, a few megabytes
 FIXED = 1e12  # scores are summed in units of 1e-12
 LENGTH_EDGES = [0, 100, 400, 800, 1600, 3200, 6400, 12800, 25600]
 
@@ -35,23 +36,35 @@ def chunks(documents: DataFrame) -> DataFrame:
 
 def postings(units: DataFrame, ident: str, text: str) -> DataFrame:
     """(unit, term, tf, length) with terms counted in the map task before anything is shuffled."""
+    return _counted(_words(units, ident, text))
+
+
+def _words(units: DataFrame, ident: str, text: str) -> DataFrame:
     rows = units.select(F.col(ident).alias("unit"), tx.tokens(F.col(text)).alias("_w"))
-    words = rows.select("unit", F.size("_w").alias("unit_len"), F.explode("_w").alias("term"))
-    return words.groupBy("unit", "unit_len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # outer: else the filter that drops empty texts would split every text a second time
+    return rows.select("unit", F.size("_w").alias("unit_len"), F.explode_outer("_w").alias("term"))
+
+
+def _counted(words: DataFrame) -> DataFrame:
+    return words.where("term is not null").groupBy("unit", "unit_len", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def lexical(units: DataFrame, queries: DataFrame, ident: str = "chunk_id", text: str = "content",
             top: int | None = ARM) -> DataFrame:
     """BM25 of every query against the inverted index: (query_id, unit, score, rank).
 
-    Only terms of the queries leave the index, so the join carries query terms, not the corpus.
+    Only terms of the queries leave the index: while they are few enough to be broadcast, words are
+    compared with them before anything is counted or shuffled; beyond that the counted index is joined.
     """
-    index = postings(units, ident, text)
     asked = queries.select("query_id", F.explode(F.array_distinct(tx.tokens(F.col("query")))).alias("term"))
     stats = units.select(F.size(tx.tokens(F.col(text))).alias("n")).agg(
         F.count(F.lit(1)).cast("double").alias("_docs"), F.avg("n").alias("_avg"))
-    wanted = asked.select("term").distinct()
-    kept = cut(index.join(wanted, "term", "left_semi"))
+    wanted = cut(asked.select("term").distinct())
+    words = _words(units, ident, text)
+    if wanted.count() <= FEW_TERMS:
+        kept = cut(_counted(words.join(F.broadcast(wanted), "term", "left_semi")))
+    else:
+        kept = cut(_counted(words).join(wanted, "term", "left_semi"))
     df = kept.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.col("_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("unit_len") / F.col("_avg")))
