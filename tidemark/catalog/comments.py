@@ -241,14 +241,16 @@ def dlq_split(t: Tables):
 
 view("sent", """
   SELECT 'cm' || doc_id AS comment_id, 'v' || (doc_id % 100) AS video_id, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' ELSE 'neutral' END AS label,
-         coalesce(CASE WHEN doc_id % 13 <> 0 THEN n_chars % 97 END, 0) AS like_count, make_timestamp(1704067200000000 + (doc_id % 10007) * 1730 * 1000000) AS published_at
+         coalesce(CASE WHEN doc_id % 13 <> 0 THEN n_chars % 97 END, 0) AS like_count, make_timestamp(1704067200000000 + (doc_id % 10007) * 1730 * 1000000) AS published_at,
+         make_timestamp(1704067200000000 + (doc_id % 10007) * 1730 * 1000000) + INTERVAL 30 HOUR AS scored_at
   FROM labels JOIN documents USING (doc_id)""")
 
 
 def sentiment(t: Tables):
     label = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
     scored = t.labels.select(F.concat(F.lit("cm"), F.col("doc_id").cast("string")).alias("comment_id"), label.alias("label"))
-    return scored.join(comment_rows(t).select("comment_id", "video_id", "like_count", "published_at"), "comment_id")
+    rows = scored.join(comment_rows(t).select("comment_id", "video_id", "like_count", "published_at"), "comment_id")
+    return rows.withColumn("scored_at", F.col("published_at") + F.expr("INTERVAL 30 HOURS"))
 
 
 @query("video_sentiment", """

@@ -59,10 +59,10 @@ view("ex_points", """
 
 @query("export_velocity_series", """
   SELECT region, video_id, max(title) AS title, max(channel_title) AS channel_title, count(*) AS points,
-         string_agg(strftime(captured_at, '%Y%m%d%H') || ':' || views, ' ' ORDER BY captured_at) AS series FROM ex_points GROUP BY 1, 2""")
+         string_agg(strftime(captured_at, '%Y%m%d%H') || ':' || views || ':' || velocity_rank, ' ' ORDER BY captured_at) AS series FROM ex_points GROUP BY 1, 2""")
 def export_velocity_series(t: Tables):
-    nested = exports.velocity_series(lifecycle(t), marts.velocity_unranked(stg(t)))
-    text = F.transform("series", lambda p: F.concat_ws(":", F.date_format(p["captured_at"], "yyyyMMddHH"), p["views"].cast("string")))
+    nested = exports.velocity_series(lifecycle(t), marts.velocity_hourly(stg(t)))
+    text = F.transform("series", lambda p: F.concat_ws(":", F.date_format(p["captured_at"], "yyyyMMddHH"), p["views"].cast("string"), p["velocity_rank"].cast("string")))
     return nested.select("region", "video_id", "title", "channel_title", F.size("series").alias("points"), F.array_join(text, " ").alias("series"))
 
 
@@ -81,7 +81,7 @@ def export_sentiment_videos(t: Tables):
 
 
 @query("export_sentiment_daily", """
-  SELECT region, published_at::date::varchar AS date, count(*) FILTER (label = 'positive') AS positive, count(*) FILTER (label = 'neutral') AS neutral,
+  SELECT region, scored_at::date::varchar AS date, count(*) FILTER (label = 'positive') AS positive, count(*) FILTER (label = 'neutral') AS neutral,
          count(*) FILTER (label = 'negative') AS negative
   FROM sent JOIN (SELECT DISTINCT video_id, region FROM lifecycle) USING (video_id) GROUP BY 1, 2""")
 def export_sentiment_daily(t: Tables):
@@ -105,7 +105,7 @@ def datasets(t: Tables) -> list[exports.Dataset]:
         d("category_daily", ("gold_category_daily",), exports.category_daily(cut(marts.category_daily(latest, cats)))),
         d("channels", ("gold_channel_performance",), exports.channels(marts.channel_performance(rows))),
         d("videos", ("gold_video_lifecycle", "ml_video_predictions"), exports.videos(life, predictions(t))),
-        d("velocity_top", ("gold_video_velocity_hourly",), exports.velocity_series(life, marts.velocity_unranked(rows))),
+        d("velocity_top", ("gold_video_velocity_hourly",), exports.velocity_series(life, marts.velocity_hourly(rows))),
         d("sentiment_videos", ("gold_video_sentiment",), exports.sentiment_videos(comments.video_sentiment(scored), life)),
         d("sentiment_daily", ("ml_comment_sentiment",), exports.sentiment_daily(scored, life)),
         d("rag_showcase", ("ml_rag_showcase",), exports.table_or_absent(t.spark, "ml_rag_showcase")),

@@ -163,7 +163,7 @@ def _parse_batches(batches):
                     raise ValueError("no title")
                 rows.append((page_id, title, " ".join("".join(page.body).split()), meta[0], meta[3], page.marks, None))
             except Exception as exc:  # a bad page is a row, not a failed job
-                rows.append((page_id, None, None, None, None, [], f"{type(exc).__name__}: {exc}"[:200]))
+                rows.append((page_id, None, None, None, None, [], f"{type(exc).__name__}: {exc}"))
         yield pd.DataFrame(rows, columns=["page_id", "title", "body", "author", "posted", "marks", "error"])
 
 
@@ -244,10 +244,10 @@ def route_failures(work: DataFrame, max_attempts: int = 3) -> DataFrame:
     return work.withColumn("route", F.when(~failed, "done").when(F.col("attempts") >= max_attempts, "dead_letter").otherwise("retry"))
 
 
-def replay_dead(routed: DataFrame, limit: int | None = None) -> DataFrame:
-    """Dead letters as fresh work: the error field removed, attempts started over."""
+def replay_dead(routed: DataFrame, limit: int | None = None, oldest: str = "event_id") -> DataFrame:
+    """Dead letters as fresh work: the error field removed, attempts started over. A limit takes the oldest first."""
     out = routed.where("route = 'dead_letter'").withColumns({"error": F.lit(None).cast("string"), "attempts": F.lit(0).cast("long")}).drop("route")
-    return out.limit(limit) if limit else out
+    return out.orderBy(oldest).limit(limit) if limit else out
 
 
 def video_sentiment(scored: DataFrame) -> DataFrame:

@@ -13,11 +13,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.ordering import top_n
+from tidemark.session import cut
 
 # Windows in days, ranks kept, series length, size limits, oldest data that may be exported.
 TREND_DAYS, CATEGORY_DAYS, BOARD_DAYS = 90, 60, 90
 TOP_CHANNELS, TOP_VIDEOS, TOP_SERIES, SERIES_POINTS = 50, 100, 10, 72
-MAX_FILE, MAX_TOTAL, MAX_AGE_HOURS, MAX_ROWS = 3 * 1024 * 1024, 15 * 1024 * 1024, 26, 20_000
+MAX_FILE, MAX_TOTAL, MAX_AGE_HOURS = 3 * 1024 * 1024, 15 * 1024 * 1024, 26
 
 
 def last_days(df: DataFrame, column: str, days: int) -> DataFrame:
@@ -55,7 +56,7 @@ def velocity_series(lifecycle: DataFrame, velocity: DataFrame) -> DataFrame:
     points = top_n(velocity.join(top, ["video_id", "region"]), ["video_id", "region"], [F.col("captured_at").asc()], SERIES_POINTS, "_point")
     return points.groupBy("region", "video_id").agg(
         F.max("title").alias("title"), F.max("channel_title").alias("channel_title"),
-        F.sort_array(F.collect_list(F.struct("captured_at", "views", "delta_views_per_hour"))).alias("series"))  # at most SERIES_POINTS
+        F.sort_array(F.collect_list(F.struct("captured_at", "views", "delta_views_per_hour", "velocity_rank"))).alias("series"))  # at most SERIES_POINTS
 
 
 def sentiment_videos(sentiment: DataFrame, lifecycle: DataFrame) -> DataFrame:
@@ -64,8 +65,8 @@ def sentiment_videos(sentiment: DataFrame, lifecycle: DataFrame) -> DataFrame:
 
 
 def sentiment_daily(scored: DataFrame, lifecycle: DataFrame) -> DataFrame:
-    """Label counts per region and day; single comments never leave the platform."""
-    per_video = scored.groupBy("video_id", F.to_date("published_at").alias("date"), "label").agg(F.count(F.lit(1)).alias("n"))
+    """Label counts per region and day of scoring; single comments never leave the platform."""
+    per_video = scored.groupBy("video_id", F.to_date("scored_at").alias("date"), "label").agg(F.count(F.lit(1)).alias("n"))
     rows = per_video.join(lifecycle.select("video_id", "region").distinct(), "video_id")
     return rows.groupBy("region", "date").pivot("label", ["positive", "neutral", "negative"]).agg(F.sum("n")).na.fill(0)
 
@@ -103,11 +104,12 @@ def write_envelope(spark: SparkSession, data: Dataset, folder: str, generated_at
         body = spark.range(1).select(F.lit(0).cast("long").alias("row_count"), F.lit("[]").alias("rows"))
         status = "absent"
     else:
-        over = data.rows.limit(MAX_ROWS + 1).count()
-        if over > MAX_ROWS:
-            raise ExportTooLarge(f"{data.name} has more than {MAX_ROWS} rows")
-        ordered = F.array_sort(F.collect_list(F.to_json(F.struct(*data.rows.columns))))
-        body = data.rows.agg(F.count(F.lit(1)).alias("row_count"), F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]")).alias("rows"))
+        rows = cut(data.rows.select(F.to_json(F.struct(*data.rows.columns)).alias("row")))
+        size = rows.agg(F.sum(F.octet_length("row") + 1)).first()[0] or 0
+        if size > MAX_FILE:  # before anything is packed into one row
+            raise ExportTooLarge(f"{data.name} has {size} bytes of rows")
+        ordered = F.array_sort(F.collect_list("row"))
+        body = rows.agg(F.count(F.lit(1)).alias("row_count"), F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]")).alias("rows"))
         status = "ok"
     head = F.to_json(F.struct(F.lit(data.name).alias("dataset"), F.lit(generated_at).alias("generated_at"),
                               F.array(*[F.lit(s) for s in data.source_tables]).alias("source_tables"),
