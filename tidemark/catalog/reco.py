@@ -168,20 +168,22 @@ _L = lambda e: f"round(ln(1 + {e})::decimal(38,12), 6)::double"
       FROM ({_interest('ga')}) i JOIN ga_catalog c USING (item_id) WHERE c.item_category IS NOT NULL GROUP BY 1, 2) WHERE rn = 1),
   hist AS (SELECT user_pseudo_id, item_id, sum({_W})::bigint AS weighted_hist_interaction FROM ga GROUP BY 1, 2),
   uv AS (SELECT user_pseudo_id, list(round(value::decimal(38,12), 6)::double ORDER BY dim) AS u FROM rc_uservec GROUP BY 1)
-  SELECT p.user_pseudo_id, p.item_id, coalesce(r.recency_days, 30)::bigint AS recency_days, r.orders_count, r.sessions_count, r.active_days,
-         {_L('r.monetary_total')} AS log1p_monetary, r.distinct_items_viewed, {_L('c.users_viewed')} AS log1p_users_viewed,
-         {_L('c.users_purchased')} AS log1p_users_purchased,
+  SELECT p.user_pseudo_id, p.item_id, coalesce(r.recency_days, 30)::bigint AS recency_days, coalesce(r.orders_count, 0) AS orders_count,
+         coalesce(r.sessions_count, 0) AS sessions_count, coalesce(r.active_days, 0) AS active_days,
+         coalesce({_L('r.monetary_total')}, 0) AS log1p_monetary, coalesce(r.distinct_items_viewed, 0) AS distinct_items_viewed,
+         coalesce({_L('c.users_viewed')}, 0) AS log1p_users_viewed,
+         coalesce({_L('c.users_purchased')}, 0) AS log1p_users_purchased,
          coalesce(round((c.users_carted / nullif(c.users_viewed, 0)::double)::decimal(38,12), 4)::double, 0) AS view_to_cart_user_rate,
          coalesce(round((c.users_purchased / nullif(c.users_viewed, 0)::double)::decimal(38,12), 4)::double, 0) AS view_to_purchase_user_rate,
-         {_L('c.price_latest')} AS log1p_price_latest, (r.data_anchor_date - c.first_seen_date)::bigint AS days_since_first_seen,
-         (r.data_anchor_date - c.last_seen_date)::bigint AS days_since_last_seen,
+         coalesce({_L('c.price_latest')}, 0) AS log1p_price_latest, coalesce((r.data_anchor_date - c.first_seen_date)::bigint, 0) AS days_since_first_seen,
+         coalesce((r.data_anchor_date - c.last_seen_date)::bigint, 0) AS days_since_last_seen,
          coalesce(round((list_dot_product(uv.u, e.embedding::double[]) / nullif(sqrt(list_dot_product(e.embedding::double[], e.embedding::double[])), 0))::decimal(38,12), 5)::double, 0) AS i2v_cos_user_item,
          coalesce(h.weighted_hist_interaction, 0) AS weighted_hist_interaction,
          coalesce((c.item_category = fav.cat)::bigint, 0) AS seed_same_category, p.src::bigint AS recall_src,
          coalesce(pt.views_1h, 0) AS rt_views_1h, coalesce(pt.carts_1h, 0) AS rt_carts_1h, coalesce(pt.events_30m, 0) AS rt_events_30m,
          coalesce((c.item_category = rtc.rt_cat)::bigint, 0) AS rt_item_matches_top_cat,
          CASE WHEN pt.events_30m IS NOT NULL THEN 1 ELSE 0 END::bigint AS has_rt
-  FROM rc_pool p JOIN ga_rfm r USING (user_pseudo_id) JOIN ga_catalog c USING (item_id)
+  FROM rc_pool p LEFT JOIN ga_rfm r ON r.user_pseudo_id = p.user_pseudo_id LEFT JOIN ga_catalog c ON c.item_id = p.item_id
   LEFT JOIN hist h ON h.user_pseudo_id = p.user_pseudo_id AND h.item_id = p.item_id
   LEFT JOIN fav ON fav.user_pseudo_id = p.user_pseudo_id LEFT JOIN rtc ON rtc.user_pseudo_id = p.user_pseudo_id
   LEFT JOIN newest n ON n.user_pseudo_id = p.user_pseudo_id LEFT JOIN rc_pit pt ON pt.event_key = n.event_key

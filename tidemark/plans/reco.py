@@ -155,7 +155,11 @@ def point_in_time(events: DataFrame) -> DataFrame:
 
 def rank_features(pool: DataFrame, events: DataFrame, rfm: DataFrame, catalog: DataFrame, interest: DataFrame,
                   cosines: DataFrame, lists: DataFrame, window_days: int) -> DataFrame:
-    """The ranking features of every (user, candidate), missing values as their sentinels."""
+    """The ranking features of every (user, candidate), missing values as their sentinels.
+
+    A candidate stays whether or not its item is in the catalogue or its user in the profiles: what is
+    missing then is 0, the days since the last visit the whole window.
+    """
     newest = events.groupBy(USER).agg(F.max_by(F.concat_ws("|", USER, "event_ts_micros", "event_name", "item_id"),
                                                F.struct("event_ts_micros", "event_name", "item_id")).alias("event_key"))
     rt = point_in_time(events).join(newest.select("event_key"), "event_key", "left_semi").select(
@@ -171,7 +175,7 @@ def rank_features(pool: DataFrame, events: DataFrame, rfm: DataFrame, catalog: D
     code = F.when(F.col("source") == "i2v", 0).when(F.col("source") == "sem", 1).otherwise(2)
     src = lists.groupBy(USER, "item_id").agg(F.min(code).alias("recall_src"))
     users = rfm.select(
-        USER, F.coalesce("recency_days", F.lit(window_days)).alias("recency_days"), "orders_count", "sessions_count", "active_days",
+        USER, "recency_days", "orders_count", "sessions_count", "active_days",
         exact_round(F.log1p(F.col("monetary_total").cast("double")), 6).alias("log1p_monetary"), "distinct_items_viewed", "data_anchor_date")
     items = catalog.select(
         "item_id", "item_category", exact_round(F.log1p("users_viewed"), 6).alias("log1p_users_viewed"),
@@ -179,11 +183,12 @@ def rank_features(pool: DataFrame, events: DataFrame, rfm: DataFrame, catalog: D
         F.coalesce("view_to_cart_user_rate", F.lit(0)).alias("view_to_cart_user_rate"),
         F.coalesce("view_to_purchase_user_rate", F.lit(0)).alias("view_to_purchase_user_rate"),
         exact_round(F.log1p(F.col("price_latest").cast("double")), 6).alias("log1p_price_latest"), "first_seen_date", "last_seen_date")
-    out = (pool.select(USER, "item_id").join(users, USER).join(items, "item_id")
+    out = (pool.select(USER, "item_id").join(users, USER, "left").join(items, "item_id", "left")
            .join(cosines, [USER, "item_id"], "left").join(hist, [USER, "item_id"], "left").join(src, [USER, "item_id"], "left")
            .join(favourite, USER, "left").join(top_cat, USER, "left").join(rt, USER, "left"))
     same = lambda c: F.coalesce((F.col("item_category") == F.col(c)).cast("long"), F.lit(0))
     out = out.withColumns({
+        "recency_days": F.coalesce("recency_days", F.lit(window_days)),
         "days_since_first_seen": F.datediff("data_anchor_date", "first_seen_date"),
         "days_since_last_seen": F.datediff("data_anchor_date", "last_seen_date"),
         "seed_same_category": same("_cat"), "rt_item_matches_top_cat": same("_rt_cat"),
