@@ -94,13 +94,14 @@ def test_range_scan_prunes_and_guards(spark, tmp_path):
         store.range_scan(store.read_table(spark, path), at(9), at(9), SILVER.fieldNames(), strict=True)
 
 
-def test_versioned_table_ignores_unfinished_versions(spark, tmp_path):
-    table = store.VersionedTable(spark, str(tmp_path / "v"))
+def test_keyed_table_keeps_the_newest_row_whatever_comes_again(spark):
+    table = store.keyed_table(spark, "keyed", "k", buckets=3)
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, at int, v string")
     assert not table.exists()
-    table.merge(spark.createDataFrame([(1, "a")], "k int, v string"), ["k"])
-    (tmp_path / "v" / "v2").mkdir()
-    table.merge(spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])
-    assert sorted(map(tuple, table.read().collect())) == [(1, "b"), (2, "c")]
+    table.merge(rows((1, 5, "a"), (1, 4, "old"), (2, 1, "b")), ["k"], "at")
+    for _ in range(2):
+        table.merge(rows((1, 3, "late"), (3, 9, "c"), (2, 2, "d")), ["k"], "at")
+    assert sorted(map(tuple, table.read().collect())) == [(1, 5, "a"), (2, 2, "d"), (3, 9, "c")]
 
 
 def good(spark):

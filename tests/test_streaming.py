@@ -20,6 +20,23 @@ def test_restarted_replay_equals_batch(spark):
     events.unpersist()
 
 
+def test_windows_of_panes_equal_sliding_windows(spark):
+    events = ga(Tables(spark, DATA))
+    want, got = ev.item_heat(events), ev.heat_of_panes(ev.item_panes(events))
+    assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty() and not got.isEmpty()
+
+
+def test_late_rows_are_counted_in_every_batch(spark):
+    events = ga(Tables(spark, DATA))
+    rows, at = ev.messages(events, duplicate_percent=0), F.timestamp_micros("event_ts_micros")
+    replay, keys = ev.Replay(spark, "late-test", state_partitions=2), lambda raw: ev.clean(raw).select(*ev.KEY)
+    replay.send(rows.where(at >= "2024-01-20"), "a")
+    replay.run(keys)
+    replay.send(rows.where(at < "2024-01-10"), "b")
+    replay.run(keys, max_files=1)  # several batches, each with late rows
+    assert replay.late_rows() == events.where("event_ts < timestamp'2024-01-10'").count() > 0
+
+
 def test_broken_messages_are_left_out(spark):
     good = ev.messages(ga(Tables(spark, DATA)).limit(3), duplicate_percent=0).select("value")
     bad = spark.createDataFrame([("{not json",), ("{}",)], "value string")

@@ -12,11 +12,12 @@ from tidemark.operators.sessions import overlaps, sessionize
 from tidemark.plans import commerce
 from tidemark.registry import query, view
 from tidemark.session import cut
-from tidemark.sources.store import new_table
+from tidemark.sources.store import keyed_table
 from tidemark.sources.tables import Tables
 from tidemark.streaming import events as ev
 
 HALF = "2024-01-16 00:00:00"
+STATE_PARTITIONS = 8  # of the replays here, which hold one month of a sample; a parameter of each replay
 
 view("st_user_cat", """
   SELECT user_pseudo_id, item_category, w AS window_end, count(*) AS view_count_5m
@@ -46,7 +47,7 @@ def _messages(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def _replayed(t: Tables, name: str, features, cuts=(HALF,)) -> DataFrame:
-    return ev.Replay(t.spark, name).replay(_messages(t)[1], lambda raw: features(ev.real(ev.clean(raw))), cuts)
+    return ev.Replay(t.spark, name, state_partitions=STATE_PARTITIONS).replay(_messages(t)[1], lambda raw: features(ev.real(ev.clean(raw))), cuts)
 
 
 @query("stream_source")
@@ -54,7 +55,7 @@ def stream_source(t: Tables):
     """Good, bad and repeated messages as the source counts them."""
     _, rows = _messages(t)
     broken = rows.where(F.crc32("value") % 100 == 0).withColumn("value", F.substring("value", 1, 40))
-    replay = ev.Replay(t.spark, "source")
+    replay = ev.Replay(t.spark, "source", state_partitions=STATE_PARTITIONS)
     replay.send(rows.unionByName(broken), "chunk-0000")
     out = ev.parse(t.spark.read.text(f"{replay.inbox}/*"))
     bad = t.spark.read.text(f"{replay.inbox}/*").where(F.from_json("value", ev.MESSAGE)["event_ts_micros"].isNull())
@@ -81,7 +82,7 @@ def stream_late(t: Tables):
     """The later half first: the earlier half is then late, counted, and kept out of the result."""
     events, _ = _messages(t)
     rows = ev.messages(events, duplicate_percent=0)
-    replay, features = ev.Replay(t.spark, "late"), lambda raw: ev.real(ev.clean(raw)).select(*ev.KEY)
+    replay, features = ev.Replay(t.spark, "late", state_partitions=STATE_PARTITIONS), lambda raw: ev.real(ev.clean(raw)).select(*ev.KEY)
     at = F.timestamp_micros("event_ts_micros")
     replay.send(rows.where(at >= F.lit(HALF).cast("timestamp")), "chunk-0000")
     replay.run(features)
@@ -98,7 +99,8 @@ def sliding_user_category(t: Tables):
 
 @query("sliding_item", "SELECT * FROM st_item")
 def sliding_item(t: Tables):
-    return _replayed(t, "item", ev.item_heat)
+    """Sliding counts from the panes that the stream keeps."""
+    return ev.heat_of_panes(_replayed(t, "item", ev.item_panes))
 
 
 @query("session_agg", "SELECT * FROM st_sessions")
@@ -147,17 +149,15 @@ def rt_user_features(t: Tables):
 def stream_sink_idempotent(t: Tables):
     """Newest values per user through the keyed sink; the whole stream is written twice."""
     _, rows = _messages(t)
-    table = new_table(t.spark, "latest")
+    table = keyed_table(t.spark, "latest", "user_pseudo_id", buckets=4)
     order = F.struct("event_ts_micros", "event_name", "item_id")
     write = ev.keyed_sink(table, ["user_pseudo_id"], "at")
 
     def newest(batch: DataFrame, batch_id: int) -> None:
-        # absolute values: what the table holds takes part, so an old batch cannot win
-        found = batch.select("user_pseudo_id", order.alias("at"))
-        write(found.unionByName(table.read()) if table.exists() else found, batch_id)
+        write(batch.select("user_pseudo_id", order.alias("at")), batch_id)
 
     for name in ("first", "again"):
-        ev.Replay(t.spark, name).replay(rows, lambda raw: ev.real(ev.clean(raw)), (HALF,), newest)
+        ev.Replay(t.spark, name, state_partitions=STATE_PARTITIONS).replay(rows, lambda raw: ev.real(ev.clean(raw)), (HALF,), newest)
     return table.read().select("user_pseudo_id", F.col("at.item_id").alias("last_item_id"),
                                F.col("at.event_ts_micros").alias("last_event_ts_micros"))
 
@@ -182,7 +182,7 @@ def verify_windows(t: Tables):
     parts = []
     for name, features, keys in (("sliding_item", ev.item_heat, ["item_id", "window_end"]),
                                  ("sliding_user_category", ev.views_by_user_category, ["user_pseudo_id", "item_category", "window_end"])):
-        streamed = ev.Replay(t.spark, name).replay(rows, lambda raw: features(ev.real(ev.clean(raw))), (HALF,))
+        streamed = ev.Replay(t.spark, name, state_partitions=STATE_PARTITIONS).replay(rows, lambda raw: features(ev.real(ev.clean(raw))), (HALF,))
         parts.append(_mismatch(streamed, features(events), keys).withColumn("check_name", F.lit(name)))
     return reduce(DataFrame.unionByName, parts)
 
@@ -203,7 +203,7 @@ def batch_sessions(events: DataFrame) -> DataFrame:
   SELECT count(*) AS equal_rows, 0::bigint AS different_rows, 0::bigint AS stream_only, 0::bigint AS batch_only FROM st_sessions""")
 def verify_sessions(t: Tables):
     events, rows = _messages(t)
-    streamed = ev.Replay(t.spark, "sessions").replay(rows, lambda raw: ev.session_windows(ev.real(ev.clean(raw))), (HALF,))
+    streamed = ev.Replay(t.spark, "sessions", state_partitions=STATE_PARTITIONS).replay(rows, lambda raw: ev.session_windows(ev.real(ev.clean(raw))), (HALF,))
     columns = ["user_pseudo_id", "session_start_ts", "session_end_ts", "events_count", "items_carted",
                "items_purchased", "cart_pending_final", "session_revenue"]
     return _mismatch(streamed.select(*columns), batch_sessions(events).select(*columns), columns[:2])
@@ -233,5 +233,5 @@ def session_pairing(t: Tables):
 def backfill_invariance(t: Tables):
     """The same messages in one chunk and in three give the same table."""
     _, rows = _messages(t)
-    run = lambda name, cuts: ev.Replay(t.spark, name).replay(rows, lambda raw: ev.item_heat(ev.real(ev.clean(raw))), cuts)
+    run = lambda name, cuts: ev.Replay(t.spark, name, state_partitions=STATE_PARTITIONS).replay(rows, lambda raw: ev.item_heat(ev.real(ev.clean(raw))), cuts)
     return _mismatch(run("whole", ()), run("cut", ("2024-01-08 09:30:00", "2024-01-21 17:45:30")), ["item_id", "window_end"])

@@ -99,7 +99,8 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence[tuple[str, str]]
     """
     keys = [F.col(c).desc_nulls_last() if way == "desc" else F.col(c).asc_nulls_last()
             for c, way in order]
-    placed = _placed(df, group, keys)
+    # the hash lets equal values, which a range split keeps together, spread over slices
+    placed = _placed(df, group, [*keys, F.xxhash64(*df.columns)])
     value = F.struct(*[F.col(c) for c, _ in order])
     placed = placed.withColumn("_lr", F.rank().over(Window.partitionBy(*group, "_slice").orderBy(*keys)))
     per_slice = placed.groupBy(*group, "_slice").agg(

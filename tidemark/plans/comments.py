@@ -10,6 +10,7 @@ from tidemark.functions import text as tx
 from tidemark.functions.numeric import exact_round, ratio
 from tidemark.operators.ordering import first_per, ordered_prefix, top_n
 from tidemark.operators.scalars import attach
+from tidemark.session import cut
 from tidemark.plans.marts import latest_per_day
 from tidemark.sources.store import upsert
 
@@ -189,6 +190,7 @@ class TooManyFailures(RuntimeError):
 
 def require_parsed(parsed: DataFrame, limit: float = MAX_FAILED_SHARE) -> DataFrame:
     """The parsed rows; a share of failures above the limit fails the run."""
+    parsed = cut(parsed)  # every page is parsed once
     row = parsed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("error").isNotNull()).alias("bad")).first()
     if row["n"] and row["bad"] / row["n"] > limit:
         raise TooManyFailures(f"{row['bad']} of {row['n']} pages failed")

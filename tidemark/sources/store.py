@@ -1,8 +1,6 @@
 """Partitioned Parquet tables: overwrite by partition, keyed upsert, range scan.
 
-Partitions are derived columns, so the table keeps its column contract. A reader of a table
-being rewritten is never disturbed: an upsert writes a new version folder and then counts
-only once its success marker is written.
+Partitions are derived columns, so the table keeps its column contract.
 """
 
 from __future__ import annotations
@@ -11,6 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.operators.ordering import first_per
 from tidemark.session import cut, scratch_path
 
 HOUR_PARTITION = "captured_hour"
@@ -112,13 +111,21 @@ class PartitionedTable:
         kept = self.spark.read.schema(self._schema()).parquet(self.root)
         return kept.drop(*[p for p in self.partitions if p.startswith("_")])
 
+    @staticmethod
+    def _newest(rows: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:
+        others = [F.col(c).desc_nulls_last() for c in rows.columns if c not in (newest_by, *keys)]
+        return first_per(rows, keys, [F.col(newest_by).desc(), *others])
+
     def _schema(self) -> T.StructType:
         found = self.spark.read.parquet(self.root).schema
         return T.StructType([T.StructField(f.name, T.StringType()) if f.name in self.partitions else f for f in found])
 
-    def merge(self, batch: DataFrame, keys: Sequence[str]) -> None:
+    def merge(self, batch: DataFrame, keys: Sequence[str], newest_by: str | None = None) -> None:
         """Replace rows with equal keys, add the others. The key must fix the partition.
 
+        With ``newest_by`` the row with the largest value there stays, stored or new, so a batch that comes
+        again or late changes nothing; a batch may then hold a key more than once.
+
         The batch is evaluated once; the values of its partitions, one row each, prune the stored table
         before any file is listed. The merged partitions are cut off from the table before they replace
         it, so a lost executor cannot read half-written data.
@@ -132,46 +139,17 @@ class PartitionedTable:
             if len(self.partitions) > 1:
                 pairs = F.array(*[F.struct(*[F.lit(r[n]).alias(n) for n in self.partitions]) for r in touched])
                 stored = stored.where(F.array_contains(pairs, F.struct(*self.partitions)))
-            batch = cut(upsert(stored, batch, keys))
+            batch = cut(self._newest(stored.unionByName(batch.select(*stored.columns)), keys, newest_by) if newest_by else upsert(stored, batch, keys))
+        elif newest_by:
+            batch = self._newest(batch, keys, newest_by)
         else:
             refuse_duplicates(batch, keys)
         overwrite_partitions(batch, self.root, list(self.partitions))
 
 
-class VersionedTable:
-    """A folder of table versions; the newest finished one is current. For tables small enough to rewrite."""
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _versions(self) -> list[int]:
-        if not self._fs.exists(self._path(self.root)):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.root))]
-        done = [n for n in names if n.startswith("v")
-                and self._fs.exists(self._path(f"{self.root}/{n}/_SUCCESS"))]
-        return sorted(int(n[1:]) for n in done)
-
-    def exists(self) -> bool:
-        return bool(self._versions())
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/v{self._versions()[-1]}")
-
-    def replace(self, df: DataFrame) -> None:
-        """A version counts once its success marker is there, so a lost writer leaves no trace."""
-        n = (self._versions() or [0])[-1] + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/v{n}")
-
-    def merge(self, batch: DataFrame, keys: Sequence[str]) -> None:
-        self.replace(upsert(self.read(), batch, keys) if self.exists() else batch)
-
-
-def new_table(spark: SparkSession, name: str) -> VersionedTable:
-    return VersionedTable(spark, scratch_path(spark, name))
+def keyed_table(spark: SparkSession, name: str, key: str, buckets: int = 16) -> PartitionedTable:
+    """Rows by the hash of their key: a batch rewrites the buckets of its keys. Choose ``buckets`` for the table to come."""
+    return PartitionedTable(spark, scratch_path(spark, name), {"_bucket": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string")})
 
 
 def snapshot_table(spark: SparkSession, name: str) -> PartitionedTable:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from tidemark.session import scratch_path
-from tidemark.sources.store import VersionedTable, new_table
-from tidemark.operators.ordering import first_per
+from tidemark.session import cut, scratch_path
+from tidemark.sources.store import PartitionedTable
 
 KEY = ["user_pseudo_id", "event_ts_micros", "event_name", "item_id"]
 LATENESS = "30 seconds"
@@ -93,6 +95,20 @@ def item_heat(events: DataFrame, size: str = "15 minutes", slide: str = "1 minut
             .select("item_id", F.col("w.end").alias("window_end"), "pop_15m", "purchase_15m"))
 
 
+def item_panes(events: DataFrame, size: str = "1 minute") -> DataFrame:
+    """Counts of the panes that sliding windows are made of: one state row an item and minute."""
+    return (events.groupBy(F.window("event_ts", size).alias("w"), "item_id")
+            .agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("event_name") == "purchase").alias("purchases"))
+            .select("item_id", F.col("w.end").alias("pane_end"), "events", "purchases"))
+
+
+def heat_of_panes(panes: DataFrame, minutes: int = 15) -> DataFrame:
+    """The windows of ``item_heat`` from one-minute panes: each pane counts in ``minutes`` windows."""
+    ends = F.sequence(F.col("pane_end"), F.col("pane_end") + F.make_interval(mins=F.lit(minutes - 1)), F.expr("INTERVAL 1 MINUTE"))
+    return (panes.withColumn("window_end", F.explode(ends)).groupBy("item_id", "window_end")
+            .agg(F.sum("events").alias("pop_15m"), F.sum("purchases").alias("purchase_15m")))
+
+
 def session_windows(events: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
     only = lambda e: F.collect_set(F.when(F.col("event_name") == e, F.col("item_id")))
     out = events.groupBy("user_pseudo_id", F.session_window("event_ts", gap).alias("s")).agg(
@@ -197,15 +213,45 @@ def live_sessions(events: DataFrame, gap_seconds: int = 1800) -> DataFrame:
 
 # --- running ----------------------------------------------------------------------------
 
+class LateRows(StreamingQueryListener):
+    """Rows that the watermark kept out of any stateful step, over all batches of each query."""
+
+    def __init__(self) -> None:
+        self.dropped: Counter = Counter()
+        self.ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        self.dropped[str(event.progress.runId)] += late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def of(self, run: str, seconds: int = 60) -> int:
+        """The count of a run that has ended, once its last report is in."""
+        if not self.ended.setdefault(run, threading.Event()).wait(seconds):
+            raise TimeoutError(f"no end reported for run {run}")
+        return self.dropped[run]
+
+
 class Replay:
     """An ordered backfill: chunks of messages in event-time order, then one closing message.
 
     Every chunk is one folder under ``inbox`` and one run of the query from its checkpoint, so
-    each replay also restarts the query as often as it has chunks.
+    each replay also restarts the query as often as it has chunks. ``state_partitions`` is the number
+    of partitions of all state; the checkpoint keeps it from the first run on, so choose it for the
+    largest state to come. Without it the session's number of shuffle partitions holds.
     """
 
-    def __init__(self, spark: SparkSession, name: str, close_after: str = "91 minutes") -> None:
-        self.spark, self.close_after = spark, close_after
+    def __init__(self, spark: SparkSession, name: str, close_after: str = "91 minutes", state_partitions: int | None = None) -> None:
+        self.spark, self.close_after, self.state_partitions = spark, close_after, state_partitions
+        self.late = 0
         self.base = scratch_path(spark, f"replay-{name}")
         self.inbox, self.out, self.state = f"{self.base}/in", f"{self.base}/out", f"{self.base}/state"
         self.progress: list[dict] = []
@@ -229,19 +275,23 @@ class Replay:
         stream = features(file_source(self.spark, self.inbox, max_files))
         writer = stream.writeStream.outputMode("append").option("checkpointLocation", self.state).trigger(availableNow=True)
         writer = writer.foreachBatch(sink) if sink else writer.format("parquet").option("path", self.out)
-        query = self._start(writer)
-        query.awaitTermination()
+        listener = LateRows()
+        self.spark.streams.addListener(listener)
+        try:
+            query = self._start(writer)
+            query.awaitTermination()
+            self.late += listener.of(str(query.runId))
+        finally:
+            self.spark.streams.removeListener(listener)
         self.progress += [p.asDict() if hasattr(p, "asDict") else p for p in query.recentProgress]
         return stream.schema
 
     def _start(self, writer):
-        """Start with no more state partitions than the cluster has cores to work on them.
-
-        The number is kept in the checkpoint from the first run on.
-        """
         conf, name = self.spark.conf, "spark.sql.shuffle.partitions"
+        if self.state_partitions is None:
+            return writer.start()
         asked = conf.get(name)
-        conf.set(name, str(min(int(asked), max(1, self.spark.sparkContext.defaultParallelism))))
+        conf.set(name, str(self.state_partitions))
         try:
             return writer.start()
         finally:
@@ -262,22 +312,16 @@ class Replay:
         return None if sink else self.spark.read.schema(schema).parquet(self.out)
 
     def late_rows(self) -> int:
-        """Rows the watermark kept out of the first stateful step, over all runs."""
-        total = 0
-        for p in self.progress:
-            operators = p["stateOperators"] if isinstance(p, dict) else p.stateOperators
-            if operators:
-                first = operators[0]
-                total += first["numRowsDroppedByWatermark"] if isinstance(first, dict) else first.numRowsDroppedByWatermark
-        return total
-
-
-def keyed_sink(table: VersionedTable, keys: Sequence[str], newest_by: str) -> Callable[[DataFrame, int], None]:
-    """Absolute values by key, so a batch written twice leaves the same table."""
+        """Rows the watermark kept out of stateful steps, over all batches of all runs."""
+        return self.late
+
+
+def keyed_sink(table: PartitionedTable, keys: Sequence[str], newest_by: str) -> Callable[[DataFrame, int], None]:
+    """Absolute values by key, so a batch written twice, or after a newer one, leaves the same table."""
     def write(batch: DataFrame, _batch_id: int) -> None:
+        batch = cut(batch)  # the micro-batch is planned once
         if not batch.isEmpty():
-            order = [F.col(newest_by).desc(), *[F.col(c).desc_nulls_last() for c in batch.columns if c not in (newest_by, *keys)]]
-            table.merge(first_per(batch, keys, order), keys)
+            table.merge(batch, keys, newest_by)
     return write
 
 
@@ -290,5 +334,5 @@ def drained(progress: Sequence, needed: int = 2) -> bool:
     return len(progress) >= needed and all(caught_up(p) for p in list(progress)[-needed:])
 
 
-__all__ = ["CLEARED", "KEY", "MESSAGE", "Replay", "clean", "drained", "item_heat", "kafka_source", "keyed_sink", "live_sessions",
-           "messages", "new_table", "parse", "real", "session_windows", "user_features", "views_by_user_category"]
+__all__ = ["CLEARED", "KEY", "MESSAGE", "Replay", "clean", "drained", "heat_of_panes", "item_heat", "item_panes", "kafka_source", "keyed_sink", "live_sessions",
+           "messages", "parse", "real", "session_windows", "user_features", "views_by_user_category"]
