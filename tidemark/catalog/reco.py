@@ -15,6 +15,7 @@ from tidemark.session import cut
 from tidemark.sources.tables import Tables
 
 TRAIN_END, LABEL_START = "2024-01-20", "2024-01-21"
+FIT_END, FIT_LABEL_START = "2024-01-10", "2024-01-11"  # of the window a ranker is fitted on; its labels end with TRAIN_END
 FEATURE_NAMES = ["recency_days", "orders_count", "sessions_count", "active_days", "log1p_monetary", "distinct_items_viewed",
                  "log1p_users_viewed", "log1p_users_purchased", "view_to_cart_user_rate", "view_to_purchase_user_rate",
                  "log1p_price_latest", "days_since_first_seen", "days_since_last_seen", "i2v_cos_user_item",
@@ -192,8 +193,9 @@ def rank_features(t: Tables):
     return features(t)[0].select("user_pseudo_id", "item_id", *FEATURE_NAMES)
 
 
-def features(t: Tables):
-    events = cut(ga(t))
+def features(t: Tables, window=None):
+    """Ranking features of all candidates, from the events of ``window`` alone (a filter of events)."""
+    events = cut(window(ga(t)) if window else ga(t))
     catalog = cut(commerce.item_catalog(events))
     found, interest, lists = pool(events, neighbours(t), catalog)
     found = cut(found)
@@ -263,10 +265,40 @@ def promotion_gate(t: Tables):
     return ranking.promotion_gate(rank_metrics(t), "rrf", "pop", "pop")
 
 
+@query("ltr_groups", """
+  SELECT count(*) AS users, count(*) FILTER (hits = 0) AS dropped, round((count(*) FILTER (hits = 0) / count(*)::double)::decimal(38,12), 6)::double AS dropped_rate
+  FROM (SELECT p.user_pseudo_id, count(g.grade) AS hits FROM rc_train_pool p LEFT JOIN rc_grades g USING (user_pseudo_id, item_id) GROUP BY 1)""")
+def ltr_groups(t: Tables):
+    events = cut(ga(t))
+    return reco.dropped_groups(pool(train(events), neighbours(t), commerce.item_catalog(events))[0], label(events))
+
+
+def fitting(events: DataFrame) -> DataFrame:
+    return events.where(F.col("event_date") <= F.lit(FIT_END).cast("date"))
+
+
+def fitting_label(events: DataFrame) -> DataFrame:
+    return train(events).where(F.col("event_date") >= F.lit(FIT_LABEL_START).cast("date"))
+
+
+def ranked_by_model(t: Tables) -> DataFrame:
+    """Ranks for the label window from a model that has seen neither that window nor its features."""
+    past, now = features(t, fitting)[0], features(t, train)[0]
+    return reco.pointwise_ranker(cut(past), reco.graded(fitting_label(ga(t))), cut(now), FEATURE_NAMES)
+
+
 @query("ranker")
 def ranker(t: Tables):
-    rows, events = features(t)
-    return reco.pointwise_ranker(cut(rows), reco.graded(label(events)), FEATURE_NAMES)
+    return ranked_by_model(t)
+
+
+@query("ranker_gate")
+def ranker_gate(t: Tables):
+    """The fitted ranker against the popular list, with the fused list in production."""
+    events = cut(ga(t))
+    lists = variants(t, events).unionByName(ranked_by_model(t).select("user_pseudo_id", "item_id", "rank", F.lit("ranker").alias("variant")))
+    found = ranking.rank_metrics(cut(lists), reco.graded(label(events)), ["user_pseudo_id"])
+    return ranking.promotion_gate(found, "ranker", "pop", "rrf")
 
 
 view("ab_crc", """

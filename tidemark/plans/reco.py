@@ -202,22 +202,30 @@ def graded(events: DataFrame) -> DataFrame:
 
 
 def ltr_dataset(pool: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pool rows with grades; users whose whole pool is a miss are dropped (their number is reported apart)."""
+    """Pool rows with grades; users whose whole pool is a miss are dropped; ``dropped_groups`` counts them."""
     rows = pool.join(graded(labels), [USER, "item_id"], "left").na.fill(0, ["grade"])
     hit = rows.where("grade > 0").select(USER).distinct()
     return rows.join(hit, USER, "left_semi")
 
 
-def pointwise_ranker(features: DataFrame, grades: DataFrame, feature_names: Sequence[str], seed: int = 42) -> DataFrame:
-    """Boosted trees on the grade; the rank within a user is by predicted grade."""
+def dropped_groups(pool: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row: users with a pool, those dropped from the dataset because all of it is a miss, and their share."""
+    grades = graded(labels).select(USER, "item_id", F.lit(1).alias("_hit"))
+    per_user = pool.join(grades, [USER, "item_id"], "left").groupBy(USER).agg(F.count("_hit").alias("hits"))
+    return per_user.agg(F.count(F.lit(1)).alias("users"), F.count_if(F.col("hits") == 0).alias("dropped")).withColumn(
+        "dropped_rate", exact_round(F.col("dropped") / F.nullif(F.col("users"), F.lit(0)), 6))
+
+
+def pointwise_ranker(past: DataFrame, past_grades: DataFrame, features: DataFrame, feature_names: Sequence[str], seed: int = 42) -> DataFrame:
+    """Boosted trees on the grade, fitted on an earlier window; the rank within a user of the later one is by predicted grade."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    rows = features.join(grades, [USER, "item_id"], "left").na.fill(0, ["grade"]).withColumn("label", F.col("grade").cast("double"))
+    rows = past.join(past_grades, [USER, "item_id"], "left").na.fill(0, ["grade"]).withColumn("label", F.col("grade").cast("double"))
     model = Pipeline(stages=[VectorAssembler(inputCols=list(feature_names), outputCol="x"),
                              GBTRegressor(featuresCol="x", maxIter=10, maxDepth=4, seed=seed)]).fit(rows)
-    scored = model.transform(rows).select(USER, "item_id", F.col("prediction").alias("score"), "grade")
+    scored = model.transform(features).select(USER, "item_id", F.col("prediction").alias("score"))
     return top_n(scored, [USER], [F.col("score").desc(), F.col("item_id")], POOL)
 
 
