@@ -8,7 +8,7 @@ def expected(rows):
     lines = {}
     for i, text in rows:
         for j, raw in enumerate((text or "").split("\n") if text is not None and i is not None else []):
-            line = raw.strip(ENDS).lower()
+            line = raw.strip(ENDS)
             if line:
                 lines.setdefault(line, []).append((i, j))
     sets = {x: {x[a:a + 8] for a in range(max(1, len(x) - 7))} for x in lines}

@@ -1,8 +1,8 @@
 """Near-duplicate lines across documents, in DataFrame functions alone.
 
-A line's set is its distinct windows of eight characters (code points), lower-cased and trimmed. Exact copies
+A line's set is its distinct windows of eight characters (code points), without the spaces at its ends. Exact copies
 are one class from the start, counted before anything is shuffled. Signature: the smallest shingle hash under
-24 bit masks, all taken in one pass over the exploded shingles. Banding: eight bands of three minima, which
+24 bit masks, all taken in one pass over the exploded shingles, eight of them a row. Banding: eight bands of three minima, which
 lines of similarity 0.8 miss with probability 0.003, of 0.9 with 0.00003.
 
 A band never emits its pairs. Its most frequent line is compared with the others; where some of them end up in
@@ -22,7 +22,9 @@ from tidemark.llm.common import components, only, written
 SHINGLE = 8
 BAND, BANDS = 3, 8
 ROUNDS = 3
+WINDOWS = 8  # of a row while signatures are taken
 WORD_BITS = 19  # the bitmap has 2^19 words of 64 bits
+ENDS = "".join(map(chr, range(33)))
 # The masks, spread by multiples of the golden ratio
 MASKS = [((i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) - (1 << 63) for i in range(BAND * BANDS)]
 
@@ -32,14 +34,13 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = only(docs, id_col, text_col).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     # spaces and control characters at the ends don't distinguish lines
-    plain = F.lower(F.regexp_replace("raw", "^[\\x00-\\x20]+|[\\x00-\\x20]+$", ""))
-    rows = rows.select("doc_id", "version", "line_no", plain.alias("line")).where(F.col("line") != "")
+    rows = rows.select("doc_id", "version", "line_no", F.btrim("raw", F.lit(ENDS)).alias("line")).where(F.col("line") != "")
     return rows.withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(1), F.col("line"))})
 
 
-def _windows(size: Column) -> Column:
-    """Numbers of the windows in an array of ``size`` bytes of UTF-32: one at least."""
-    return F.sequence(F.lit(1), F.greatest((size / 4).cast("int") - (SHINGLE - 1), F.lit(1)))
+def _count(data: Column) -> Column:
+    """How many windows an array of UTF-32 has: one at least."""
+    return F.greatest((F.octet_length(data) / 4).cast("int") - (SHINGLE - 1), F.lit(1))
 
 
 def _window(data: Column, i: Column) -> Column:
@@ -49,21 +50,23 @@ def _window(data: Column, i: Column) -> Column:
 def shingle_set(line: Column) -> Column:
     """The distinct hashes of a line's windows, in one pass: the encoded line is bound once."""
     encoded = F.array(F.encode(line, "UTF-32"))
-    return F.array_distinct(F.transform(encoded, lambda b: F.transform(_windows(F.octet_length(b)), lambda i: _window(b, i)))[0])
+    return F.array_distinct(F.transform(encoded, lambda b: F.transform(F.sequence(F.lit(1), _count(b)), lambda i: _window(b, i)))[0])
 
 
 def signatures(found: DataFrame) -> DataFrame:
-    """(k1, k2, n, first, b0, b1, ...) of distinct lines: occurrences, the first one, and the band keys."""
-    cells = found.select("doc_id", "line_no", "k1", "k2", F.encode("line", "UTF-32").alias("data"))
-    cells = cells.select("*", F.explode(_windows(F.octet_length("data"))).alias("i"))
-    cells = cells.select("k1", "k2", (F.col("i") == 1).cast("long").alias("whole"),
-                         # document and line as one number, so that the first occurrence needs no sorting
-                         (F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line_no")).alias("at"),
-                         _window(F.col("data"), F.col("i")).alias("h"))
-    least = [F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{j}") for j, m in enumerate(MASKS)]
-    grouped = cells.groupBy("k1", "k2").agg(F.sum("whole").alias("n"), F.min("at").alias("first"), *least)
+    """(k1, k2, n, b0, b1, ...) of distinct lines: number of occurrences, and the band keys.
+
+    Rows hold numbers of 64 bits only, for aggregation without sorting. In a line's last row the last
+    window fills the rest, which no minimum notices.
+    """
+    cells = found.select("k1", "k2", F.encode("line", "UTF-32").alias("data")).withColumn("last", _count(F.col("data")))
+    cells = cells.select("*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(WINDOWS))).alias("i"))
+    hashes = [_window(F.col("data"), F.least(F.col("i") + w, F.col("last"))).alias(f"h{w}") for w in range(WINDOWS)]
+    cells = cells.select("k1", "k2", (F.col("i") == 1).cast("long").alias("whole"), *hashes)
+    least = [F.min(F.least(*[F.col(f"h{w}").bitwiseXOR(F.lit(m)) for w in range(WINDOWS)])).alias(f"m{j}") for j, m in enumerate(MASKS)]
+    grouped = cells.groupBy("k1", "k2").agg(F.sum("whole").alias("n"), *least)
     bands = [F.xxhash64(F.lit(b), *[F.col(f"m{BAND * b + j}") for j in range(BAND)]).alias(f"b{b}") for b in range(BANDS)]
-    return grouped.select("k1", "k2", "n", "first", *bands)
+    return grouped.select("k1", "k2", "n", *bands)
 
 
 def possible(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
@@ -107,11 +110,10 @@ def line_classes(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, id
     heads = written(heads.where("lo <> hi").select("band", "head"), "heads")
     live = written(possible(bands, "band", heads.select("band")).join(heads, "band"), "bands")
 
-    wanted = reps.join(live.select("id").distinct(), "id", "left_semi").select("id", "k1", "k2", "first")
-    texts = possible(found, "k1", wanted.select("k1")).join(wanted, ["k1", "k2"])
-    at = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line_no")
-    # one occurrence of each: the first (rows that repeat it are equal)
-    texts = written(texts.where(at == F.col("first")).groupBy("id").agg(F.min("line").alias("line")), "texts")
+    wanted = reps.join(live.select("id").distinct(), "id", "left_semi").select("id", "k1", "k2")
+    # copies collapse in the map tasks, before the texts of distinct lines are shuffled
+    texts = possible(found, "k1", wanted.select("k1")).groupBy("k1", "k2").agg(F.min("line").alias("line"))
+    texts = written(texts.join(wanted, ["k1", "k2"]).select("id", "line"), "texts")
 
     links = _similar(live.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), texts, similar)
     links = written(links, "links")
@@ -131,14 +133,12 @@ def line_classes(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, id
         links = links.unionByName(more)
         classes = components(links)
 
-    named = reps.join(classes, "id", "left").select("k1", "k2", "first", F.coalesce("component", "id").alias("class"))
-    first = named.groupBy("class").agg(F.min("first").alias("kept_at"))
-    named = named.join(first, "class").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "kept_at")
-    rows = found.select("doc_id", "version", "line_no", "k1", "k2")
-    rows = rows.join(named, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")))
-    doc = F.floor(F.col("kept_at") / F.lit(1 << 32).cast("decimal(11,0)")).cast("long")
-    rows = rows.select("doc_id", "version", F.col("line_no").cast("long").alias("line_no"), doc.alias("class_doc_id"),
-                       F.pmod("kept_at", F.lit(1 << 32).cast("decimal(11,0)")).cast("long").alias("class_line_no"))
+    named = reps.join(classes, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("class"))
+    rows = found.select("doc_id", "version", F.col("line_no").cast("long").alias("line_no"), "k1", "k2")
+    rows = written(rows.join(named, ["k1", "k2"]).select("doc_id", "version", "line_no", "class"), "line-classes")
+    first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
+    rows = rows.join(first, "class").select("doc_id", "version", "line_no", F.col("at.doc_id").alias("class_doc_id"),
+                                            F.col("at.line_no").alias("class_line_no"))
     return rows.withColumn("kept", (F.col("doc_id") == F.col("class_doc_id")) & (F.col("line_no") == F.col("class_line_no")))
 
 
