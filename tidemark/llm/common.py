@@ -78,7 +78,7 @@ def components(edges: DataFrame) -> DataFrame:
     while seen[0]:
         both = e.unionByName(e.select(*link(F.col("v"), F.col("u"))))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        e = both.join(low, "u").where("v > u").select(*link(F.col("v"), F.col("m"))).distinct()
+        e = both.join(low, "u").where("v > u").select(*link(F.col("v"), F.col("m")))
         low = e.groupBy("u").agg(F.min("v").alias("m"))
         e = e.join(low, "u").select("u", "v", "m")
         e = cut(e.where("v > m").select(*link(F.col("v"), F.col("m"))).unionByName(e.select(*link(F.col("u"), F.col("m")))).distinct())
