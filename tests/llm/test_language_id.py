@@ -31,9 +31,9 @@ def test_undetermined():
 def test_counts_cover_the_whole_training_part(spark):
     rows = [(i, "ab ab cd", "x") for i in range(5)] + [(9, "ef", "y"), (10, None, "y"), (11, "gh", None)]
     m = li.train(docs_frame(spark, rows, ["word", "n", "gram"]))
-    assert m.languages == ["x", "y"] and set(m.words) == {"ab", "cd", "ef"}
-    assert m.words["ab"][0] == math.log(10 / 15) and m.words["ab"][1] == math.log(0.5)
-    assert m.grams[2]["ab"][0] == math.log(10 / 45)  # three windows of two characters a word
+    assert m.languages == ["x", "y"] and set(m.words.index) == {"ab", "cd", "ef"}
+    assert m.words.get("ab").tolist() == [math.log(10 / 15), math.log(0.5)]
+    assert m.grams[2].get("ab")[0] == math.log(10 / 45)  # three windows of two characters a word
 
 
 def test_rows_without_data(spark):

@@ -75,26 +75,32 @@ def _count_ngrams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield out()
 
 
-class Model:
-    """Log frequencies by language: of words, and of n-grams by length."""
+class Table:
+    """Log frequencies by language, a matrix row for each key. Absent from a language: half an occurrence in it."""
 
-    def __init__(self, languages: list[str], words, grams) -> None:
-        self.languages = languages
+    def __init__(self, languages: list[str], rows: list[tuple]) -> None:
         at = {x: i for i, x in enumerate(languages)}
-        self.words = self._table(at, words)
-        self.grams = {n: self._table(at, [(a, b, c, d) for a, size, b, c, d in grams if size == n]) for n in NGRAMS}
-
-    @staticmethod
-    def _table(at: dict[str, int], rows) -> dict[str, np.ndarray]:
-        """Absent from a language: half an occurrence in it."""
-        table: dict[str, np.ndarray] = {}
+        self.index: dict[str, int] = {}
         totals = np.ones(len(at))
-        for lang, _, _, total in rows:
+        for lang, key, _, total in rows:
             totals[at[lang]] = total
-        floor = np.log(0.5 / totals)
+            self.index.setdefault(key, len(self.index))
+        self.values = np.tile(np.log(0.5 / totals), (len(self.index), 1))
         for lang, key, n, total in rows:
-            table.setdefault(key, floor.copy())[at[lang]] = math.log(n / total)
-        return table
+            self.values[self.index[key], at[lang]] = math.log(n / total)
+
+    def get(self, key: str) -> np.ndarray | None:
+        i = self.index.get(key)
+        return None if i is None else self.values[i]
+
+
+class Model:
+    """Log frequencies by language: of words, and of n-grams by length."""
+
+    def __init__(self, languages: list[str], words: list[tuple], grams: list[tuple]) -> None:
+        self.languages = languages
+        self.words = Table(languages, words)
+        self.grams = {n: Table(languages, [(a, b, c, d) for a, size, b, c, d in grams if size == n]) for n in NGRAMS}
 
 
 class Scorer:
@@ -117,9 +123,9 @@ class Scorer:
     def backed_off(self, word: str) -> np.ndarray:
         for step, n in enumerate(NGRAMS, 1):
             table = self.model.grams[n]
-            hits = [table[g] for g in ngrams(word, n) if g in table]
+            hits = [table.index[g] for g in ngrams(word, n) if g in table.index]
             if hits:
-                return STEP * step + np.mean(hits, axis=0)
+                return STEP * step + table.values[hits].mean(axis=0)
         return self.blank
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -147,7 +153,8 @@ def train(docs: DataFrame, words_kept: int = WORDS_KEPT, ngrams_kept: int = NGRA
         whole = counts.groupBy(*by).agg(F.sum("n").alias("total"))
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), key))
         top = counts.withColumn("r", rank).where(F.col("r") <= most).join(whole, by)
-        return [tuple(r) for r in top.where(F.col("lang").isin(languages)).select(*by, key, "n", "total").collect()]
+        found = top.where(F.col("lang").isin(languages)).select(*by, key, "n", "total").toArrow()
+        return list(zip(*[c.to_pylist() for c in found.columns]))
 
     return Model(languages, frequent(words, ["lang"], "word", words_kept), frequent(grams, ["lang", "length"], "gram", ngrams_kept))
 
