@@ -7,6 +7,7 @@ Frequent pieces are remembered, up to a fixed number per task.
 
 Lower-casing, composition and splitting follow this Python's Unicode tables. Text with a character they don't
 know yet is normalised and split by the ``tokenizers`` library, whose tables are newer; merging stays the same.
+Which way a text goes is decided by its distinct characters.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ import functools
 import heapq
 import json
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -27,13 +27,15 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import only, utf8
 
 SHORT = 64  # parts up to which the smallest rank is found by scanning
-REMEMBERED = 200_000  # pieces kept per task
+REMEMBERED = 300_000  # pieces kept per Python worker, twice: the current ones and those before
 BATCH_CHARS = 2_000_000
 NONE = 1 << 60
 
 # The white space of the vocabulary's patterns, and its pattern of pieces
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + SPACE + r"\p{L}\p{N}]+"
+# the same for texts whose letters and digits are all that \w stands for
+PLAIN_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w" + SPACE + r"]|_)+"
 
 
 def byte_letters() -> list[str]:
@@ -43,17 +45,16 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(spare)) for b in range(256)]
 
 
+PLAIN, NUMERAL, UNKNOWN = range(3)
+
+
 @functools.cache
-def unassigned() -> re.Pattern:
-    """Characters without a category in this Python's tables."""
-    spans: list[list[int]] = []
-    for c in range(0x80, sys.maxunicode + 1):
-        if unicodedata.category(chr(c)) == "Cn":
-            if spans and spans[-1][1] == c - 1:
-                spans[-1][1] = c
-            else:
-                spans.append([c, c])
-    return re.compile("[" + "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in spans) + "]")
+def kind(c: str) -> int:
+    """Whether ``c`` is a number other than a digit, or not in this Python's tables; most are neither."""
+    category = unicodedata.category(c)
+    if category == "Cn":
+        return UNKNOWN
+    return NUMERAL if c.isalnum() and category[0] != "L" and category != "Nd" else PLAIN
 
 
 class Bpe:
@@ -64,71 +65,80 @@ class Bpe:
         model = spec["model"]
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[int, int] = {}  # by both ids as one number
+        self.made: list[int] = []  # id by rank
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.ranks.setdefault((self.ids[a], self.ids[b]), (rank, self.ids[a + b]))
+            self.ranks.setdefault(self.ids[a] << 32 | self.ids[b], rank)
+            self.made.append(self.ids[a + b])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         letters = byte_letters()
         self.inner = [self.ids[c] for c in letters]
         self.last = [self.ids[c + self.end] for c in letters]
-        self.pieces = regex.compile(PIECES)
+        self.pieces, self.plain_pieces = regex.compile(PIECES), re.compile(PLAIN_PIECES)
+        self.plain: set[str] = set()  # characters found to be
         self.marks = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
         self.known: dict[str, list[int]] = {}
+        self.before: dict[str, list[int]] = {}
 
     def merged(self, parts: list[int]) -> list[int]:
         """The rank array: ``ranks[i]`` is that of parts i and i + 1."""
-        get = self.ranks.get
-        found = [get(p, (NONE, 0)) for p in zip(parts, parts[1:])]
-        ranks = [r for r, _ in found]
+        get, made = self.ranks.get, self.made
+        ranks = [get(a << 32 | b, NONE) for a, b in zip(parts, parts[1:])]
         while ranks:
             low = min(ranks)
             if low == NONE:
                 break
             i = ranks.index(low)
-            parts[i] = get((parts[i], parts[i + 1]))[1]
+            part = parts[i] = made[low]
             del parts[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = get((parts[i], parts[i + 1]), (NONE, 0))[0]
+                ranks[i] = get(part << 32 | parts[i + 1], NONE)
             if i:
-                ranks[i - 1] = get((parts[i - 1], parts[i]), (NONE, 0))[0]
+                ranks[i - 1] = get(parts[i - 1] << 32 | part, NONE)
         return parts
 
     def merged_long(self, parts: list[int]) -> list[int]:
         """The same merges, smallest rank and then leftmost first, from a heap over linked parts."""
         get, n = self.ranks.get, len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r[0], i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := get((parts[i], parts[i + 1])))]
+
+        def found(i: int, j: int) -> list[tuple[int, int, int, int]]:
+            rank = get(parts[i] << 32 | parts[j])
+            return [] if rank is None else [(rank, i, parts[i], parts[j])]
+
+        heap = [x for i in range(n - 1) for x in found(i, i + 1)]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if parts[i] != a or j >= n or parts[j] != b:
                 continue  # one of them has been merged since
-            parts[i], parts[j] = get((a, b))[1], -1
+            parts[i], parts[j] = self.made[rank], -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if r := get((parts[i], parts[k])):
-                    heapq.heappush(heap, (r[0], i, parts[i], parts[k]))
-            h = before[i]
-            if h >= 0 and (r := get((parts[h], parts[i]))):
-                heapq.heappush(heap, (r[0], h, parts[h], parts[i]))
+                for x in found(i, k):
+                    heapq.heappush(heap, x)
+            if (h := before[i]) >= 0:
+                for x in found(h, i):
+                    heapq.heappush(heap, x)
         return [p for p in parts if p >= 0]
 
     def joined(self, parts: list[int]) -> list[int]:
         return self.merged(parts) if len(parts) <= SHORT else self.merged_long(parts)
 
     def word(self, piece: str) -> list[int]:
-        found = self.known.get(piece)
+        """The ids of a piece that isn't among the known ones; it is from then on."""
+        found = self.before.get(piece)
         if found is None:
             data = utf8(piece)
             found = self.joined([self.inner[b] for b in data[:-1]] + [self.last[data[-1]]])
-            if len(piece) <= SHORT:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[piece] = found
+        if len(piece) <= SHORT:
+            if len(self.known) >= REMEMBERED:
+                self.before, self.known = self.known, {}
+            self.known[piece] = found
         return found
 
     def encode(self, text: str) -> list[int]:
@@ -136,15 +146,19 @@ class Bpe:
         for part in self.marks.split(text):
             if part in self.special:
                 out.append(self.special[part])
-            elif not part.isascii() and unassigned().search(part):
-                plain = self.library.normalizer.normalize_str(part)
-                for letters, _ in self.library.pre_tokenizer.pre_tokenize_str(plain):
-                    out.extend(self.joined([self.ids[c] for c in letters[:-1]] + [self.ids[letters[-1] + self.end]]))
             elif part:
                 # each character is lowered by itself, also a final sigma
                 plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                for piece in self.pieces.findall(plain):
-                    out.extend(self.word(piece))
+                kinds = {kind(c) for c in set(plain) - self.plain}
+                if UNKNOWN in kinds:
+                    for letters, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part)):
+                        out += self.joined([self.ids[c] for c in letters[:-1]] + [self.ids[letters[-1] + self.end]])
+                    continue
+                if not kinds - {PLAIN}:
+                    self.plain.update(plain)
+                for piece in (self.pieces if NUMERAL in kinds else self.plain_pieces).findall(plain):
+                    ids = self.known.get(piece)
+                    out += self.word(piece) if ids is None else ids
         return out
 
     def decode(self, ids: list[int]) -> str:
