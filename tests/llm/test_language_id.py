@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
@@ -16,12 +17,26 @@ def test_known_words_first_then_shorter_windows():
     m = model([("aa", "cat", 8, 10), ("aa", "dog", 2, 10), ("bb", "cat", 1, 10), ("bb", "chat", 9, 10)],
               [("aa", 3, "ogs", 1, 4), ("bb", 3, "hat", 2, 4), ("aa", 1, "d", 1, 2), ("bb", 1, "h", 1, 2)])
     s = li.Scorer(m)
-    assert s.predict("Cat, cat!") == ("aa", 1 / (1 + math.exp(2 * (math.log(0.1) - math.log(0.8)))))
+    assert s.predict("Cat, cat!") == ("aa", pytest.approx(1 / (1 + math.exp(2 * (math.log(0.1) - math.log(0.8))))))
     assert s.predict("dogs")[0] == "aa" and s.predict("hats")[0] == "bb"  # by the windows of three
-    assert s.word("h")[1] == li.STEP * 5 + math.log(1 / 2)  # by single characters, five steps down
+    assert s.backed_off("h")[1] == li.STEP * 5 + math.log(1 / 2)  # by single characters, five steps down
     assert s.predict("zzz") == ("aa", 0.5)  # nothing known: a tie, the first by name
 
 
+def test_rows_of_unknown_words_are_reused_without_mixing(monkeypatch):
+    monkeypatch.setattr(li, "REMEMBERED", 3)
+    words, grams = [("aa", "cat", 8, 10), ("bb", "chat", 9, 10)], [(x, 1, c, n, 9) for c in "dogshatbird" for x, n in (("aa", ord(c) % 5 + 1), ("bb", 3))]
+    small = li.Scorer(model(words, grams))
+    texts = ["dog hat bird cat dogs hats birds", "bird", "hat cat", "dog dog bird hat dogs", "chat"]
+    monkeypatch.setattr(li, "REMEMBERED", 100)
+    large = li.Scorer(model(words, grams))
+    for text in texts:
+        want = large.predict(text)
+        monkeypatch.setattr(li, "REMEMBERED", 3)
+        assert small.predict(text) == (want[0], pytest.approx(want[1]))
+        monkeypatch.setattr(li, "REMEMBERED", 100)
+
+
 def test_undetermined():
     s = li.Scorer(model([("aa", "cat", 1, 1)]))
     assert [s.predict(t) for t in (None, "", "123 !? ²")] == [("und", 0.0)] * 3

@@ -9,12 +9,12 @@ number per language that is a parameter; what is not among them is what backing
 from __future__ import annotations
 
 import math
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import only, small_batches, written
@@ -24,15 +24,16 @@ WORDS_KEPT = 20_000  # of a language
 NGRAMS_KEPT = 20_000  # of a language and length
 LANGUAGES = 256  # the most frequent ones
 STEP = -1.0  # log weight of each step down to shorter n-grams
-REMEMBERED = 100_000  # unknown words a task keeps the score of
-HELD = 300_000  # distinct words a task counts before it passes them on
+REMEMBERED = 300_000  # unknown words a Python worker keeps the scores of
+HELD = 500_000  # distinct words or n-grams a task counts before it passes them on
 
-LETTER = regex.compile(r"\p{L}")
-WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+WORD = re.compile(r"[^\W\d_]+")  # letters, and numbers that aren't digits
 
 
 def _words(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """The words of a text; none if it has no letter."""
+    found = WORD.findall(text.lower())
+    return found if any(map(str.isalpha, found)) or any(map(str.isalpha, "".join(found))) else []
 
 
 def ngrams(word: str, n: int) -> list[str]:
@@ -44,35 +45,42 @@ def ngrams(word: str, n: int) -> list[str]:
 
 
 def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held: Counter = Counter()
+    held: defaultdict[str, Counter] = defaultdict(Counter)
 
-    def out() -> pd.DataFrame:
-        return pd.DataFrame([(*k, n) for k, n in held.items()], columns=["lang", "word", "n"])
+    def out() -> Iterator[pd.DataFrame]:
+        for lang, counts in held.items():
+            if counts:
+                yield pd.DataFrame({"lang": [lang] * len(counts), "word": list(counts), "n": list(counts.values())})
+        held.clear()
 
     for frame in frames:
         for lang, text in zip(frame["lang"], frame["text"]):
-            held.update((lang, w) for w in _words(text))
-            if len(held) >= HELD:
-                yield out()
-                held.clear()
-    yield out()
+            held[lang].update(_words(text))
+        if sum(map(len, held.values())) >= HELD:
+            yield from out()
+    yield from out()
 
 
 def _count_ngrams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held: Counter = Counter()
+    held: defaultdict[tuple[str, int], dict[str, int]] = defaultdict(dict)
 
-    def out() -> pd.DataFrame:
-        return pd.DataFrame([(*k, n) for k, n in held.items()], columns=["lang", "length", "gram", "n"])
+    def out() -> Iterator[pd.DataFrame]:
+        for (lang, size), counts in held.items():
+            if counts:  # no word may be long enough
+                yield pd.DataFrame({"lang": [lang] * len(counts), "length": size, "gram": list(counts), "n": list(counts.values())})
+        held.clear()
 
-    for frame in frames:
-        for lang, word, n in zip(frame["lang"], frame["word"], frame["n"]):
+    for frame in small_batches(frames, 20_000):
+        for lang, words in frame.groupby("lang"):
             for size in NGRAMS:
-                for gram in ngrams(word, size):
-                    held[lang, size, gram] += n
-            if len(held) >= HELD:
-                yield out()
-                held.clear()
-    yield out()
+                counts = held[lang, size]
+                get = counts.get
+                for word, n in zip(words["word"], words["n"]):
+                    for gram in ngrams(word, size):
+                        counts[gram] = get(gram, 0) + n
+        if sum(map(len, held.values())) >= HELD:
+            yield from out()
+    yield from out()
 
 
 class Table:
@@ -104,36 +112,47 @@ class Model:
 
 
 class Scorer:
+    """Scores texts. Words have a matrix row each: first the model's, then those of unknown words met so far."""
+
     def __init__(self, model: Model) -> None:
-        self.model, self.known = model, {}
-        self.blank = np.zeros(len(model.languages))
-
-    def word(self, word: str) -> np.ndarray:
-        found = self.model.words.get(word)
-        if found is not None:
-            return found
-        found = self.known.get(word)
-        if found is None:
-            found = self.backed_off(word)
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = found
-        return found
-
-    def backed_off(self, word: str) -> np.ndarray:
+        self.model = model
+        self.first = len(model.words.index)
+        self.values = np.concatenate([model.words.values, np.zeros((REMEMBERED, len(model.languages)))])
+        self.index = dict(model.words.index)
+
+    def row(self, word: str) -> int:
+        """The row of a word that has none yet."""
+        if len(self.index) >= len(self.values):
+            self.index = dict(self.model.words.index)
+        i = self.index[word] = len(self.index)
+        self.values[i] = self.backed_off(word)
+        return i
+
+    def backed_off(self, word: str) -> np.ndarray | float:
         for step, n in enumerate(NGRAMS, 1):
             table = self.model.grams[n]
             hits = [table.index[g] for g in ngrams(word, n) if g in table.index]
             if hits:
-                return STEP * step + table.values[hits].mean(axis=0)
-        return self.blank
+                return STEP * step + table.values[hits].sum(axis=0) / len(hits)
+        return 0.0
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not isinstance(text, str) or not LETTER.search(text) or not self.model.languages:
+        words = _words(text) if isinstance(text, str) else []
+        if not words or not self.model.languages:
             return "und", 0.0
-        total = self.blank.copy()
-        for word, n in Counter(_words(text)).items():
-            total += n * self.word(word)
+        counts = Counter(words)
+        if len(counts) > REMEMBERED:  # more distinct words than rows: in parts
+            keys = list(counts)
+            parts = [keys[i:i + REMEMBERED] for i in range(0, len(keys), REMEMBERED)]
+        else:
+            parts = [counts]
+        total = np.zeros(len(self.model.languages))
+        for part in parts:
+            if len(self.index) + len(part) > len(self.values):
+                self.index = dict(self.model.words.index)  # none of this part's rows may be reused within it
+            get = self.index.get
+            rows = [i if (i := get(w)) is not None else self.row(w) for w in part]
+            total += np.array([counts[w] for w in part], dtype=float) @ self.values[rows]
         best = int(total.argmax())  # ties: the first by name
         return self.model.languages[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())
 
