@@ -83,14 +83,26 @@ def possible(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose full sets have a Jaccard similarity of at least ``least``."""
-    one = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
-    two = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", shingle_set(F.col("x")).alias("x"), shingle_set(F.col("y")).alias("y"))
-    sized = both.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("k"))
+    """The pairs (a, b) whose full sets have a Jaccard similarity of at least ``least``.
+
+    Sets whose sizes differ too much can't be that similar: those aren't built.
+    """
+    one = texts.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("size").alias("n"))
+    two = texts.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("size").alias("m"))
+    both = pairs.join(one, "a").join(two, "b").where(F.least("n", "m") >= least * F.greatest("n", "m"))
+    common = F.size(F.array_intersect(shingle_set(F.col("x")), shingle_set(F.col("y"))))
+    sized = both.select("a", "b", "n", "m", common.alias("k"))
     return sized.where(F.col("k") >= least * (F.col("n") + F.col("m") - F.col("k"))).select("a", "b")
 
 
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, class) after classes that ``links`` (a, b) connect have become one: union-find over classes only."""
+    ends = links.join(classes.select(F.col("id").alias("a"), F.col("class").alias("x")), "a")
+    ends = ends.join(classes.select(F.col("id").alias("b"), F.col("class").alias("y")), "b")
+    roots = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("id", "class")
+    return written(classes.join(roots, "class", "left").select("id", F.coalesce("component", "class").alias("class")), "classes")
+
+
 def line_classes(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(doc_id, version, line_no, class_doc_id, class_line_no, kept) per line with more than spaces in it.
@@ -113,14 +125,13 @@ def line_classes(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, id
     wanted = reps.join(live.select("id").distinct(), "id", "left_semi").select("id", "k1", "k2")
     # copies collapse in the map tasks, before the texts of distinct lines are shuffled
     texts = possible(found, "k1", wanted.select("k1")).groupBy("k1", "k2").agg(F.min("line").alias("line"))
-    texts = written(texts.join(wanted, ["k1", "k2"]).select("id", "line"), "texts")
+    texts = texts.join(wanted, ["k1", "k2"]).select("id", "line", F.size(shingle_set(F.col("line"))).alias("size"))
+    texts = written(texts, "texts")
 
     links = _similar(live.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), texts, similar)
-    links = written(links, "links")
-    classes = components(links)
+    classes = _merged(wanted.select("id", F.col("id").alias("class")), links)
     for _ in range(rounds - 1):
-        placed = live.select("band", "id", "weight", "head").join(classes, "id", "left")
-        placed = placed.select("band", "id", "weight", F.coalesce("component", "id").alias("class"), (F.col("id") == F.col("head")).alias("is_head"))
+        placed = live.join(classes, "id").select("band", "id", "weight", "class", (F.col("id") == F.col("head")).alias("is_head"))
         main = placed.where("is_head").select("band", F.col("class").alias("main"))
         rest = placed.join(main, "band").where("class <> main")
         new = rest.groupBy("band").agg(F.max_by("id", "weight").alias("head"), F.max_by("class", "weight").alias("of"))
@@ -128,12 +139,10 @@ def line_classes(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, id
         if not new.limit(1).count():
             break
         pairs = placed.join(new, "band").where("class <> of").select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b"))
-        more = written(_similar(pairs.distinct(), texts, similar), "more-links")
         live = live.drop("head").join(new.select("band", "head"), "band")
-        links = links.unionByName(more)
-        classes = components(links)
+        classes = _merged(classes, _similar(pairs.distinct(), texts, similar))
 
-    named = reps.join(classes, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("class"))
+    named = reps.join(classes, "id", "left").select("k1", "k2", F.coalesce("class", "id").alias("class"))
     rows = found.select("doc_id", "version", F.col("line_no").cast("long").alias("line_no"), "k1", "k2")
     rows = written(rows.join(named, ["k1", "k2"]).select("doc_id", "version", "line_no", "class"), "line-classes")
     first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
