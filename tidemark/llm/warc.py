@@ -26,6 +26,7 @@ from tidemark.llm.common import cut, utf8, written
 from tidemark.session import scratch_path
 
 FRAME_BYTES = 1 << 20  # decompressed, beyond which a frame is closed
+RUNS = 4  # of 16 frames, that a reading task gets on average
 FILE_BYTES = 64 << 20  # compressed, beyond which a file is closed
 # Fixed values of the seekable format: skippable frame, footer
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -176,10 +177,12 @@ def read_archives(index: DataFrame) -> DataFrame:
                     out = pd.DataFrame(rows, columns=["page_id", "record_type", "refers_to", "digest", "payload"])
                     yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    # the frames of a file are dealt out in runs of 16, so that a task holds a bounded list of places
-    runs = index.groupBy("file", F.floor(F.col("frame") / 16).alias("run")).agg(
-        F.collect_list(F.struct("frame", "offset", "length")).alias("entries"))
-    return runs.select("file", "entries").mapInPandas(read, RECORDS)
+    # the frames of a file are dealt out in runs of 16, so that a task holds a bounded list of places; the
+    # number of tasks is given, since the index is far smaller than what its rows make a task read
+    placed = index.withColumn("run", F.floor(F.col("frame") / 16))
+    tasks = max(1, placed.select("file", "run").distinct().count() // RUNS)
+    runs = placed.groupBy("file", "run").agg(F.collect_list(F.struct("frame", "offset", "length")).alias("entries"))
+    return runs.select("file", "entries").repartition(tasks).mapInPandas(read, RECORDS)
 
 
 def _base32(data: bytes) -> str:
