@@ -287,7 +287,9 @@ def reprocess_range(t: Tables):
         "region", "trending_date", "total_videos", "total_views")
 
 
-@query("empty_guard")
+@query("empty_guard", """
+  SELECT count(*) AS row_count, count(*) = 0 AS strict_refused FROM silver
+  WHERE captured_at BETWEEN timestamp '1999-01-01' AND timestamp '1999-01-02'""")
 def empty_guard(t: Tables):
     """The hourly load refuses an empty scan, the range load takes it."""
     rows = adapters.silver(t)
