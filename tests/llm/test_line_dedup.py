@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tests.llm.helpers import classes, docs_frame, edited, prose
 from tidemark.llm.line_dedup import line_classes, without_repeats
 
@@ -46,3 +48,17 @@ def test_repeated_rows_and_texts_of_one_id(spark):
 def test_empty_table(spark):
     assert line_classes(docs_frame(spark, [])).collect() == []
     assert without_repeats(docs_frame(spark, [])).collect() == []
+
+
+def test_every_pair_of_a_band_is_compared(spark, monkeypatch):
+    """Rare near-copies behind many frequent lines of the same band, none of them similar to each other."""
+    from tidemark.llm import line_dedup as ld
+    signed = ld.signatures
+    monkeypatch.setattr(ld, "signatures", lambda *a, **k: signed(*a, **k).withColumns({f"b{i}": F.lit(i).cast("long") for i in range(ld.BANDS)}))
+    monkeypatch.setattr(ld, "BLOCK_LINES", 4)
+    lines = [prose(700 + i, 20) for i in range(12)]
+    rows = [(100 * i + j, x) for i, x in enumerate(lines) for j in range(12 - i)]
+    rows += [(5000 + i, prose(900 + i, 20)) for i in range(6)] + [(6000 + i, prose(900 + i, 20) + " x") for i in range(6)]
+    got = {r["doc_id"]: r["class_doc_id"] for r in line_classes(docs_frame(spark, rows)).collect()}
+    assert {i: o for (i, _), (o, _) in expected(rows).items()} == got
+    assert all(got[6000 + i] == 5000 + i for i in range(6))

@@ -7,8 +7,10 @@ lines of similarity 0.8 miss with probability 0.003, of 0.9 with 0.00003.
 
 A band never emits its pairs. Its most frequent line is compared with the others; where some of them end up in
 another component, the most frequent of those is compared with all that differ from it, and so on for ``rounds``
-rounds. Every comparison is an exact Jaccard similarity of the full sets. Components are found by distributed
-union-find, and each keeps its first line by document and position.
+rounds, each with a line that hasn't been compared yet. What then still lies in several components is compared in
+blocks of bounded size, each pair of a band's blocks once: a row is a pair of blocks. So every two lines that share a
+band are linked or ruled out. Every comparison is an exact Jaccard similarity of the full sets. Components are found
+by distributed union-find, and each keeps its first line by document and position.
 
 Before texts or bands are shuffled again, rows that can't take part are dropped by a bitmap of fixed size.
 """
@@ -23,6 +25,7 @@ SHINGLE = 8
 BAND, BANDS = 3, 8
 ROUNDS = 3
 WINDOWS = 8  # of a row while signatures are taken
+BLOCK_LINES, BLOCK_SHINGLES = 64, 1 << 16  # of a block, about
 WORD_BITS = 19  # the bitmap has 2^19 words of 64 bits
 ENDS = "".join(map(chr, range(33)))
 # The masks, spread by multiples of the golden ratio
@@ -95,6 +98,36 @@ def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return sized.where(F.col("k") >= least * (F.col("n") + F.col("m") - F.col("k"))).select("a", "b")
 
 
+def _block_links(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between the classes of each band of ``members`` (band, id, class), all its pairs compared.
+
+    A band is dealt to blocks by its number of lines and their shingles. Of two classes in a pair of blocks
+    similar pairs are returned, a pair of lines that isn't similar is never a row.
+    """
+    sized = members.select("band", "id", "class").join(texts.select("id", "size"), "id")
+    facts = sized.groupBy("band").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_LINES), F.ceil(F.sum("size") / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("blocks"),
+        F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("band", "blocks")
+    dealt = sized.join(facts, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.join(texts.select("id", shingle_set(F.col("line")).alias("set")), "id")
+    cell = F.struct("id", "class", "size", "set")
+    blocks = written(dealt.groupBy("band", "blocks", "block").agg(F.collect_list(cell).alias("cells")), "blocks")
+    one = blocks.select("band", F.col("block").alias("i"), F.col("cells").alias("x"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
+    two = blocks.select("band", F.col("block").alias("j"), F.col("cells").alias("y"))
+
+    def alike(u: Column, v: Column) -> Column:
+        n, m = u["size"], v["size"]
+        # the shared shingles of a pair that is similar: least * (n + m) / (1 + least)
+        enough = F.size(F.array_intersect(u["set"], v["set"])) * (1 + least) >= least * (n + m) - 1e-6
+        # within a block each pair once
+        apart = (u["class"] != v["class"]) & ((F.col("i") != F.col("j")) | (u["id"] < v["id"]))
+        return apart & (F.least(n, m) >= least * F.greatest(n, m)) & enough
+
+    found = F.flatten(F.transform("x", lambda u: F.transform(
+        F.filter("y", lambda v: alike(u, v)), lambda v: F.struct(u["id"].alias("a"), v["id"].alias("b")))))
+    return one.join(two, ["band", "j"]).select(F.explode(found).alias("p")).select("p.a", "p.b").distinct()
+
+
 def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, class) after classes that ``links`` (a, b) connect have become one: union-find over classes only."""
     ends = links.join(classes.select(F.col("id").alias("a"), F.col("class").alias("x")), "a")
@@ -133,14 +166,21 @@ def line_classes(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, id
     for _ in range(rounds - 1):
         placed = live.join(classes, "id").select("band", "id", "weight", "class", (F.col("id") == F.col("head")).alias("is_head"))
         main = placed.where("is_head").select("band", F.col("class").alias("main"))
+        # a line that was head has met all others: it takes no further part
+        placed = placed.where("not is_head")
         rest = placed.join(main, "band").where("class <> main")
         new = rest.groupBy("band").agg(F.max_by("id", "weight").alias("head"), F.max_by("class", "weight").alias("of"))
         new = written(new, "next-heads")
         if not new.limit(1).count():
+            live = None
             break
         pairs = placed.join(new, "band").where("class <> of").select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b"))
-        live = live.drop("head").join(new.select("band", "head"), "band")
+        live = written(placed.drop("class", "is_head").join(new.select("band", "head"), "band"), "bands")
         classes = _merged(classes, _similar(pairs.distinct(), texts, similar))
+    if live is not None:
+        links = written(_block_links(live.where("id <> head").join(classes, "id"), texts, similar), "block-links")
+        if links.limit(1).count():
+            classes = _merged(classes, links)
 
     named = reps.join(classes, "id", "left").select("k1", "k2", F.coalesce("class", "id").alias("class"))
     rows = found.select("doc_id", "version", F.col("line_no").cast("long").alias("line_no"), "k1", "k2")
