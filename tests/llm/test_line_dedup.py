@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import classes, docs_frame, edited, prose
@@ -55,10 +57,22 @@ def test_every_pair_of_a_band_is_compared(spark, monkeypatch):
     from tidemark.llm import line_dedup as ld
     signed = ld.signatures
     monkeypatch.setattr(ld, "signatures", lambda *a, **k: signed(*a, **k).withColumns({f"b{i}": F.lit(i).cast("long") for i in range(ld.BANDS)}))
-    monkeypatch.setattr(ld, "BLOCK_LINES", 4)
+    monkeypatch.setattr(ld, "BLOCK_LINES", 4, raising=False)
     lines = [prose(700 + i, 20) for i in range(12)]
     rows = [(100 * i + j, x) for i, x in enumerate(lines) for j in range(12 - i)]
     rows += [(5000 + i, prose(900 + i, 20)) for i in range(6)] + [(6000 + i, prose(900 + i, 20) + " x") for i in range(6)]
     got = {r["doc_id"]: r["class_doc_id"] for r in line_classes(docs_frame(spark, rows)).collect()}
     assert {i: o for (i, _), (o, _) in expected(rows).items()} == got
     assert all(got[6000 + i] == 5000 + i for i in range(6))
+
+
+def test_recall_of_short_lines(spark):
+    """Pairs of 12 and 11 characters share four of five windows: about 3 of 1000 miss every band."""
+    from tidemark.llm import line_dedup as ld
+    rng = random.Random(11)
+    long = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(12)) for _ in range(3000)]
+    cells = spark.createDataFrame([(i, 2 * i + j, x[:12 - j]) for i, x in enumerate(long) for j in (0, 1)], "k1 long, k2 long, line string")
+    signed = ld.signatures(cells)
+    one, two = signed.where("k2 % 2 = 0").alias("x"), signed.where("k2 % 2 = 1").alias("y")
+    shared = F.greatest(*[F.col(f"x.b{b}") == F.col(f"y.b{b}") for b in range(ld.BANDS)])
+    assert one.join(two, F.col("x.k1") == F.col("y.k1")).where(~shared).count() < 0.01 * len(long)
