@@ -76,3 +76,14 @@ def test_recall_of_short_lines(spark):
     one, two = signed.where("k2 % 2 = 0").alias("x"), signed.where("k2 % 2 = 1").alias("y")
     shared = F.greatest(*[F.col(f"x.b{b}") == F.col(f"y.b{b}") for b in range(ld.BANDS)])
     assert one.join(two, F.col("x.k1") == F.col("y.k1")).where(~shared).count() < 0.01 * len(long)
+
+
+def test_query_and_pipeline_ignore_case(spark, tmp_path):
+    import corpus_pipeline
+    from tidemark.llm.queries import QUERIES
+    docs = docs_frame(spark, [(1, "All rights reserved."), (2, "ALL RIGHTS RESERVED."), (3, "Größe und Länge in Zentimetern"), (4, "GRÖßE UND LÄNGE IN ZENTIMETERN")])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["class_doc_id"] for r in QUERIES["op3_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3}
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert left == {1: "All rights reserved.", 2: "", 3: "Größe und Länge in Zentimetern", 4: ""}

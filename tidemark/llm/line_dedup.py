@@ -32,12 +32,13 @@ ENDS = "".join(map(chr, range(33)))
 MASKS = [((i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) - (1 << 63) for i in range(BAND * BANDS)]
 
 
-def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold_case: bool = False) -> DataFrame:
     """(doc_id, version, line_no, line, k1, k2): every line with a character other than spaces, and its key."""
     rows = only(docs, id_col, text_col).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     # spaces and control characters at the ends don't distinguish lines
-    rows = rows.select("doc_id", "version", "line_no", F.btrim("raw", F.lit(ENDS)).alias("line")).where(F.col("line") != "")
+    plain = F.btrim("raw", F.lit(ENDS))
+    rows = rows.select("doc_id", "version", "line_no", (F.lower(plain) if fold_case else plain).alias("line")).where(F.col("line") != "")
     return rows.withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(1), F.col("line"))})
 
 
@@ -137,15 +138,15 @@ def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", fold_case: bool = False) -> DataFrame:
     """(doc_id, version, line_no, class_doc_id, class_line_no, kept) per line with more than spaces in it.
 
     The class is named by its first line, by document and position; that one is kept. Lines of fewer than
     eight characters are equal or different. Null and empty texts have no lines; rows without id take no
     part. Rows that repeat an id and a text are one document, and keep the same lines; ``version`` is the
-    hash of the text, which tells texts of one id apart.
+    hash of the text, which tells texts of one id apart. With ``fold_case`` lines are compared in lower case.
     """
-    found = lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
+    found = lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col, fold_case)
     ids = signatures(found).withColumn("id", F.monotonically_increasing_id())
     reps = written(ids, "lines")  # the ids are fixed once the table is written
 
@@ -191,13 +192,13 @@ def line_classes(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, id
     return rows.withColumn("kept", (F.col("doc_id") == F.col("class_doc_id")) & (F.col("line_no") == F.col("class_line_no")))
 
 
-def without_repeats(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS) -> DataFrame:
+def without_repeats(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, fold_case: bool = False) -> DataFrame:
     """``docs`` (doc_id, text, n_chars, ...) with the lines of ``line_classes`` that aren't kept taken out.
 
     Blank lines stay. A document that loses all its lines stays, with what is left of its text; null texts
     stay null. ``n_chars`` follows the text. No row is dropped.
     """
-    gone = line_classes(docs, similar, rounds).where("not kept").groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone"))
+    gone = line_classes(docs, similar, rounds, fold_case=fold_case).where("not kept").groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone"))
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "_gone")
     rows = docs.join(gone, (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_version")), "left")
     # the lines are bound once; the numbers that stay are taken in order

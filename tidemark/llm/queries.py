@@ -135,5 +135,5 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_line_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every line, and whether it is the one kept."""
-    found = line_classes(_table(spark, sf_dir, "documents"))
+    found = line_classes(_table(spark, sf_dir, "documents"), fold_case=True)
     return found.select("doc_id", "line_no", "class_doc_id", "class_line_no", "kept")
