@@ -65,3 +65,17 @@ def test_without_rows_or_targets(spark):
     assert lm.difference(docs_frame(spark, []), none).collect() == []
     got = lm.difference(docs_frame(spark, [(1, "a b"), (1, "a b")]), none).collect()
     assert len(got) == 2 and all(np.isfinite(r["score"]) for r in got)
+
+
+def test_large_vocabulary_as_brute_force(spark, monkeypatch):
+    """More distinct pairs than the 2^20 there once were buckets for, few of them frequent enough to be looked up."""
+    monkeypatch.setattr(lm, "HOT", 64, raising=False)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 200_000, 20_000)) for _ in range(60)] + ["w1 w2 w3", "a b a b a b"] * 2 + [None]
+    target = [i % 3 == 0 for i in range(len(texts))]
+    marks = spark.createDataFrame([(i,) for i, t in enumerate(target) if t], "doc_id long")
+    got = {r["doc_id"]: r for r in lm.difference(docs_frame(spark, list(enumerate(texts))), marks).collect()}
+    for i, w in enumerate(brute(texts, target)):
+        if w is not None:
+            assert (got[i]["loss_target"], got[i]["loss_background"]) == pytest.approx(w, rel=1e-6)
+            assert got[i]["score"] == pytest.approx(w[1] - w[0], abs=1e-6)
