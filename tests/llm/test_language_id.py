@@ -1,4 +1,5 @@
 import math
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,3 +65,12 @@ def test_held_out_accuracy(spark):
     found = li.train_and_identify(docs, fold("doc_id", 3) != 1).join(docs.select("doc_id", "lang"), "doc_id").where(fold("doc_id", 3) == 1)
     right, n = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert n > 30 and right >= 0.97
+
+
+def test_marks_are_part_of_words():
+    assert li._words("हिन्दी भाषा") == ["हिन्दी", "भाषा"]
+    assert li._words("ภาษาที่ดี, நல்ல தமிழ்") == ["ภาษาที่ดี", "நல்ல", "தமிழ்"]
+    assert li._words(unicodedata.normalize("NFD", "Été à Malmö")) == [unicodedata.normalize("NFD", w) for w in ("été", "à", "malmö")]
+    assert li._words("́ 12") == []
+    s = li.Scorer(li.Model(["hi", "mr"], [("hi", "है", 5, 10), ("mr", "हा", 5, 10)], []))
+    assert s.predict("है")[0] == "hi" and s.predict("हा")[0] == "mr"

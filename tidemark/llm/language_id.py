@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import only, small_batches, written
@@ -28,11 +29,14 @@ REMEMBERED = 300_000  # unknown words a Python worker keeps the scores of
 HELD = 500_000  # distinct words or n-grams a task counts before it passes them on
 
 WORD = re.compile(r"[^\W\d_]+")  # letters, and numbers that aren't digits
+MARK = regex.compile(r"\p{M}")
+MARKED_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")  # for texts with combining marks, which ``re`` takes for no part of a word
 
 
 def _words(text: str) -> list[str]:
     """The words of a text; none if it has no letter."""
-    found = WORD.findall(text.lower())
+    text = text.lower()
+    found = (WORD if text.isascii() or not MARK.search(text) else MARKED_WORD).findall(text)
     return found if any(map(str.isalpha, found)) or any(map(str.isalpha, "".join(found))) else []
 
 
