@@ -110,8 +110,9 @@ def _block_links(members: DataFrame, texts: DataFrame, least: float) -> DataFram
         F.greatest(F.ceil(F.count("*") / BLOCK_LINES), F.ceil(F.sum("size") / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("blocks"),
         F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("band", "blocks")
     dealt = sized.join(facts, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.join(texts.select("id", shingle_set(F.col("line")).alias("set")), "id")
-    cell = F.struct("id", "class", "size", "set")
+    # lines are moved, not their sets, which take eight times the room
+    dealt = dealt.join(texts.select("id", "line"), "id")
+    cell = F.struct("id", "class", "size", "line")
     blocks = written(dealt.groupBy("band", "blocks", "block").agg(F.collect_list(cell).alias("cells")), "blocks")
     one = blocks.select("band", F.col("block").alias("i"), F.col("cells").alias("x"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
     two = blocks.select("band", F.col("block").alias("j"), F.col("cells").alias("y"))
@@ -124,8 +125,12 @@ def _block_links(members: DataFrame, texts: DataFrame, least: float) -> DataFram
         apart = (u["class"] != v["class"]) & ((F.col("i") != F.col("j")) | (u["id"] < v["id"]))
         return apart & (F.least(n, m) >= least * F.greatest(n, m)) & enough
 
-    found = F.flatten(F.transform("x", lambda u: F.transform(
-        F.filter("y", lambda v: alike(u, v)), lambda v: F.struct(u["id"].alias("a"), v["id"].alias("b")))))
+    def built(cells: str) -> Column:
+        return F.transform(cells, lambda c: F.struct(c["id"].alias("id"), c["class"].alias("class"), c["size"].alias("size"), shingle_set(c["line"]).alias("set")))
+
+    # the sets of both blocks are built once a row: the second block's are bound
+    found = F.transform(F.array(built("y")), lambda all_: F.flatten(F.transform(built("x"), lambda u: F.transform(
+        F.filter(all_, lambda v: alike(u, v)), lambda v: F.struct(u["id"].alias("a"), v["id"].alias("b"))))))[0]
     return one.join(two, ["band", "j"]).select(F.explode(found).alias("p")).select("p.a", "p.b").distinct()
 
 
