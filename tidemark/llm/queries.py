@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm import lm_scoring, quality_classifier
 from tidemark.llm.bpe import encode_decode
 from tidemark.llm.common import fold
+from tidemark.llm.hard_negatives import hard_negatives
 from tidemark.llm.language_id import train_and_identify
 from tidemark.llm.line_dedup import line_classes
 from tidemark.llm.mixing import mix
@@ -137,3 +138,27 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every line, and whether it is the one kept."""
     found = line_classes(_table(spark, sf_dir, "documents"), fold_case=True)
     return found.select("doc_id", "line_no", "class_doc_id", "class_line_no", "kept")
+
+@query("op11_hard_negatives", """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256 * x::DOUBLE) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_sum([a.v[i] * c.v[i] FOR i IN range(1, len(a.v) + 1)]) AS BIGINT) AS score
+  FROM e a JOIN e c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.v) = len(c.v)),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of another label that score nearly as high as an anchor's best rows of its own."""
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved))
