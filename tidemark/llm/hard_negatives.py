@@ -109,34 +109,34 @@ class Kept:
         self.limit = np.where(full, lowest, self.limit)
 
 
-def _blocks(path: str) -> Iterator[pd.DataFrame]:
+def _blocks(path: str, rows: int) -> Iterator[pd.DataFrame]:
     """The written anchors, in frames of at most a block."""
     store, place = files.FileSystem.from_uri(path)
-    for batch in arrow_dataset.dataset(place, filesystem=store, format="parquet").to_batches(batch_size=ANCHORS):
+    for batch in arrow_dataset.dataset(place, filesystem=store, format="parquet").to_batches(batch_size=rows):
         if batch.num_rows:
             yield batch.to_pandas()
 
 
-def _candidates(frames: Iterator[pd.DataFrame]) -> list[tuple]:
+def _candidates(frames: Iterator[pd.DataFrame], size: int) -> list[tuple]:
     """A task's rows as blocks of one length and number of planes, by ascending id."""
     held = pd.concat([f for f in frames if len(f)] or [pd.DataFrame(columns=["vec_id", "label", "dim", "planes"])])
     out = []
-    for (dim, size), part in held.groupby(["dim", held["planes"].str.len()]):
+    for (dim, width), part in held.groupby(["dim", held["planes"].str.len()]):
         part = part.sort_values("vec_id")
         groups = -(-int(dim) // GROUP)
-        for at in range(0, len(part), CANDIDATES):
-            rows = part.iloc[at:at + CANDIDATES]
-            planes = np.frombuffer(b"".join(rows["planes"]), dtype=np.uint8).reshape(len(rows), int(size) // groups, groups)
+        for at in range(0, len(part), size):
+            rows = part.iloc[at:at + size]
+            planes = np.frombuffer(b"".join(rows["planes"]), dtype=np.uint8).reshape(len(rows), int(width) // groups, groups)
             out.append((int(dim), rows["vec_id"].to_numpy(np.int64), rows["label"].to_numpy(np.int64), planes))
     return out
 
 
-def _compared(frames: Iterator[pd.DataFrame], path: str) -> Iterator[tuple]:
+def _compared(frames: Iterator[pd.DataFrame], path: str, sizes: tuple[int, int]) -> Iterator[tuple]:
     """(anchors of one length, [(ids, labels, score matrix) of every candidate block, lazily])."""
-    blocks = _candidates(frames)
+    blocks = _candidates(frames, sizes[1])
     if not blocks:
         return
-    for frame in _blocks(path):
+    for frame in _blocks(path, sizes[0]):
         for dim, anchors in frame.groupby(frame["v"].str.len()):
             v = np.stack(anchors["v"].to_numpy()).astype(np.int64)
             tables = {}
@@ -153,8 +153,10 @@ def _compared(frames: Iterator[pd.DataFrame], path: str) -> Iterator[tuple]:
 
 
 def _positives(path: str, k: int):
+    sizes = ANCHORS, CANDIDATES
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for anchors, compared in _compared(frames, path):
+        for anchors, compared in _compared(frames, path, sizes):
             ids, labels = anchors["vec_id"].to_numpy(np.int64), anchors["label"].to_numpy(np.int64)
             kept = Kept(len(ids), k)
             for vec, label, score in compared:
@@ -165,8 +167,10 @@ def _positives(path: str, k: int):
 
 
 def _negatives(path: str, k: int, low: int, high: int):
+    sizes = ANCHORS, CANDIDATES
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for anchors, compared in _compared(frames, path):
+        for anchors, compared in _compared(frames, path, sizes):
             ids, labels = anchors["vec_id"].to_numpy(np.int64), anchors["label"].to_numpy(np.int64)
             width = max(len(p) for p in anchors["positives"])
             lowest, highest = np.full((len(ids), width), np.iinfo(np.int64).max), np.full((len(ids), width), np.iinfo(np.int64).min)

@@ -15,6 +15,7 @@ from tidemark.llm.language_id import train_and_identify
 from tidemark.llm.line_dedup import line_classes
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.phrases import phrases
 from tidemark.llm.quality_rules import judge
 from tidemark.llm.topk_search import top_k
 from tidemark.llm.warc import round_trip
@@ -162,3 +163,37 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(rows.withColumn("label", moved))
+
+
+@query("op13_phrases", r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM t),
+f1 AS MATERIALIZED (SELECT lang, phrase, count(*) AS f FROM (SELECT lang, unnest(w) AS phrase FROM p) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+f2 AS MATERIALIZED (
+  SELECT lang, phrase, count(*) AS f FROM (SELECT lang, unnest([w[i] || ' ' || w[i+1] FOR i IN range(1, len(w))]) AS phrase FROM p WHERE len(w) > 1)
+  GROUP BY ALL HAVING count(*) >= 10),
+f3 AS MATERIALIZED (
+  SELECT lang, phrase, count(*) AS f
+  FROM (SELECT lang, unnest([w[i] || ' ' || w[i+1] || ' ' || w[i+2] FOR i IN range(1, len(w) - 1)]) AS phrase FROM p WHERE len(w) > 2)
+  GROUP BY ALL HAVING count(*) >= 10),
+f AS MATERIALIZED (SELECT * FROM f1 UNION ALL SELECT * FROM f2 UNION ALL SELECT * FROM f3),
+c AS MATERIALIZED (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM f2 UNION ALL SELECT lang, phrase, f, string_split(phrase, ' ') FROM f3),
+k AS (SELECT lang, phrase, a, w, unnest(range(1, len(w))) AS k FROM c),
+s AS (
+  SELECT k.lang, k.phrase, a, k, l.f AS l, r.f AS r, CAST(1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(w[k+1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+x AS (SELECT lang, phrase, max(f) AS longer FROM (
+  SELECT lang, f, unnest([string_split(phrase, ' ')[1] || ' ' || string_split(phrase, ' ')[2],
+    string_split(phrase, ' ')[2] || ' ' || string_split(phrase, ' ')[3]]) AS phrase FROM f3) GROUP BY ALL)
+SELECT b.lang, row_number() OVER o AS rank, b.phrase, a, l, r, n, score
+FROM b JOIN n ON n.lang = b.lang LEFT JOIN x ON x.lang = b.lang AND x.phrase = b.phrase
+WHERE 100 * coalesce(longer, 0) < 50 * a
+WINDOW o AS (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) QUALIFY row_number() OVER o <= 2000
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best phrases of two and three words."""
+    return phrases(_table(spark, sf_dir, "documents"))
