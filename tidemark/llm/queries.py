@@ -15,6 +15,7 @@ from tidemark.llm.language_id import train_and_identify
 from tidemark.llm.line_dedup import line_classes
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.page_templates import main_texts
 from tidemark.llm.phrases import phrases
 from tidemark.llm.quality_rules import judge
 from tidemark.llm.topk_search import top_k
@@ -197,3 +198,9 @@ WINDOW o AS (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) QUALIFY
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's best phrases of two and three words."""
     return phrases(_table(spark, sf_dir, "documents"))
+
+
+@query("op12_html_extraction")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_texts(_table(spark, sf_dir, "pages"))
