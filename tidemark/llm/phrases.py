@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.llm.common import GOLDEN, mix64, only, utf8, written
 from tidemark.llm.double_array import DoubleArray
 
-BLOCK_BYTES = 16 << 20  # of texts that a task takes together
+BLOCK_BYTES = 8 << 20  # of texts that a task takes together
+ROWS = 50_000  # that a task hands over at once
 BITS = 26  # of a position in the bitmap of frequent phrases
 SHARD_BYTES = 6 << 20  # of the keys of a trie
 ROUND_BYTES = 96 << 20  # of tries broadcast together
@@ -108,11 +109,13 @@ def _known(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def grams(lang: str, block: Block, words: int, bitmap: np.ndarray | None) -> tuple[pa.Array, np.ndarray]:
-    """The block's distinct phrases of ``words`` words whose two parts may be frequent, and their counts."""
+def grams(lang: str, block: Block, words: int, bitmap: np.ndarray | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The block's distinct phrases of ``words`` words whose two parts may be frequent, and their counts, bit by bit."""
     ids, names = block.words()
     if words == 1:
-        return pa.array(names, pa.binary()), np.bincount(ids, minlength=len(names))
+        count = np.bincount(ids, minlength=len(names))
+        yield from ((pa.array(names[i:i + ROWS], pa.binary()), count[i:i + ROWS]) for i in range(0, len(names), ROWS))
+        return
     hashes = _hash(names, lang)[ids]
     at = np.arange(max(len(ids) - words + 1, 0))
     for i in range(words - 1):
@@ -128,7 +131,7 @@ def grams(lang: str, block: Block, words: int, bitmap: np.ndarray | None) -> tup
         code = np.unique(code, return_inverse=True)[1] if i > 1 else code
         code = code << 32 | ids[at + i]
     _, first, count = np.unique(code, return_index=True, return_counts=True)
-    return block.slices(at[first], words), count
+    yield from ((block.slices(at[first[i:i + ROWS]], words), count[i:i + ROWS]) for i in range(0, len(first), ROWS))
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -144,9 +147,9 @@ def _level(texts: DataFrame, words: int, bitmap: np.ndarray | None) -> DataFrame
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, block in blocks(batches, limit):
             if len(block.end) >= words:
-                phrases, count = grams(lang, block, words, None if shared is None else shared.value)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(count), pa.string()), phrases, pa.array(count, pa.int64())],
-                                                 names=["lang", "phrase", "c"])
+                for phrases, count in grams(lang, block, words, None if shared is None else shared.value):
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(count), pa.string()), phrases, pa.array(count, pa.int64())],
+                                                     names=["lang", "phrase", "c"])
 
     return texts.mapInArrow(each, PHRASES).groupBy("lang", "phrase").agg(F.sum("c").alias("c"))
 
