@@ -61,7 +61,7 @@ def test_marks_of_elements():
     assert main_text("<form action=/><article>a</article><p>x</p></form>", set()) == "a"
     assert main_text("<aside><article>x</article></aside><main><header>h</header><p>a</p></main>", set()) == "h a"
     assert main_text("<body class='has-sidebar'><header>x</header><article class=post><p>a</p></article>", set()) == "a"
-    assert main_text("<article>a<svg><text>x</text></svg><span>b</span><i>c</i><div>d</article>", set()) == "abc d"
+    assert main_text("<article>a<svg><text>x</text></svg><span>b</span><i>c</i><div>d</article>", set()) == "a bc d"
     assert main_text('<article><a title="a > b" class=x href=\'>\'>a</a> <img alt="<p>x"> b</article>', set()) == "a b"
 
 
