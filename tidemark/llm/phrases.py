@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.llm.common import GOLDEN, mix64, only, utf8, written
 from tidemark.llm.double_array import DoubleArray
 
-BLOCK_BYTES = 8 << 20  # of texts that a task takes together
+BLOCK_BYTES = 4 << 20  # of texts that a task takes together
+TEXTS = 256  # that are taken out of a batch at once
 ROWS = 50_000  # that a task hands over at once
 BITS = 26  # of a position in the bitmap of frequent phrases
 SHARD_BYTES = 6 << 20  # of the keys of a trie
@@ -80,8 +81,8 @@ def _number(data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list[bytes]
 def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[str, Block]]:
     """(language, block) of the batches' texts; a block holds a text longer than it whole."""
     held, size = {}, 0
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+    for part in (batch.slice(i, TEXTS) for batch in batches for i in range(0, batch.num_rows, TEXTS)):
+        for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
             held.setdefault(lang, []).append(text)
             size += len(text)
             if size >= limit:
@@ -233,10 +234,10 @@ def count_by_tries(texts: DataFrame, phrases: DataFrame) -> DataFrame:
 
     counts = None
     for numbers in filter(None, rounds):
-        packed = context.broadcast([bytes(r["trie"]) for r in tries.where(F.col("shard").isin(numbers)).collect()])
+        shared = context.broadcast([pickle.loads(r["trie"]) for r in tries.where(F.col("shard").isin(numbers)).collect()])
 
-        def each(batches: Iterator[pa.RecordBatch], packed=packed) -> Iterator[pa.RecordBatch]:
-            tries = [pickle.loads(x) for x in packed.value]
+        def each(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            tries = shared.value
             total = [np.zeros(s.trie.size, dtype=np.int64) for s in tries]
             for lang, block in blocks(batches, limit):
                 if not len(block.start):
