@@ -10,7 +10,8 @@ costs a row, never a phrase.
 
 Counts. Candidates of all lengths are dealt by range into shards of bounded size, each a double-array trie.
 Shards are broadcast in rounds of bounded bytes. A task starts at every word of its texts and advances all
-positions byte by byte at once; accepting states are counted by ``bincount`` and the tasks' vectors are summed.
+positions byte by byte at once; accepting states are counted by ``bincount``, and the tasks' vectors are summed in
+slices, first some tasks', then these sums.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ ROWS = 50_000  # that a task hands over at once
 BITS = 26  # of a position in the bitmap of frequent phrases
 SHARD_BYTES = 6 << 20  # of the keys of a trie
 ROUND_BYTES = 96 << 20  # of tries broadcast together
+SLICE = 4096  # keys of a trie whose counts are one row
+PARTIAL = 32  # sums of tasks' vectors that are taken first, so that no group holds all tasks' vectors
 # Fixed values of the contract: where pieces end, what parts words (bytes)
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BYTES = bytes(0x0A if b in PIECE_ENDS else 0x20 if b == 0x09 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -216,6 +219,25 @@ def _built(key, frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": [key[0]], "trie": [pickle.dumps(shard)]})
 
 
+def _sum(frame: pd.DataFrame) -> np.ndarray:
+    total = np.zeros(len(frame["counts"].iloc[0]) // 8, dtype=np.int64)
+    for counts in frame["counts"]:
+        total += np.frombuffer(counts, dtype=np.int64)
+    return total
+
+
+def _part(key, frame: pd.DataFrame) -> pd.DataFrame:
+    """The sum of some tasks' vectors of one slice."""
+    return pd.DataFrame({"shard": [key[0]], "at": [key[1]], "counts": [_sum(frame).tobytes()]})
+
+
+def _whole(key, frame: pd.DataFrame) -> pd.DataFrame:
+    """The sum of these, a row for each key found."""
+    total = _sum(frame)
+    number = np.flatnonzero(total)
+    return pd.DataFrame({"shard": key[0], "number": number + key[1], "f": total[number]})
+
+
 def count_by_tries(texts: DataFrame, phrases: DataFrame) -> DataFrame:
     """(lang, phrase, f): exact counts of the (lang, phrase) rows of ``phrases``, which are distinct."""
     context, limit = texts.sparkSession.sparkContext, BLOCK_BYTES
@@ -247,16 +269,18 @@ def count_by_tries(texts: DataFrame, phrases: DataFrame) -> DataFrame:
                 at, heads = block.start[order], heads[order]
                 for shard, sums in zip(tries, total):
                     sums += np.bincount(shard.numbers(lang, block, at, heads), minlength=len(sums))
+            mine = TaskContext.get().partitionId() % PARTIAL
             for shard, sums in zip(tries, total):
-                number = np.flatnonzero(sums)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(number), shard.number), pa.int32()), pa.array(number, pa.int64()),
-                                                  pa.array(sums[number], pa.int64())], names=["shard", "number", "f"])
+                at = [i for i in range(0, len(sums), SLICE) if sums[i:i + SLICE].any()]
+                yield pa.RecordBatch.from_arrays([pa.array([shard.number] * len(at), pa.int32()), pa.array(at, pa.int64()), pa.array([mine] * len(at), pa.int32()),
+                                                  pa.array([sums[i:i + SLICE].tobytes() for i in at], pa.binary())], names=["shard", "at", "salt", "counts"])
 
-        found = texts.mapInArrow(each, "shard int, number long, f long")
+        found = texts.mapInArrow(each, "shard int, at long, salt int, counts binary")
         counts = found if counts is None else counts.unionByName(found)
     if counts is None:
         return keyed.select("lang", "phrase", F.lit(0).cast("long").alias("f"))
-    counts = counts.groupBy("shard", "number").agg(F.sum("f").alias("f"))
+    counts = counts.groupBy("shard", "at", "salt").applyInPandas(_part, "shard int, at long, counts binary")
+    counts = counts.groupBy("shard", "at").applyInPandas(_whole, "shard int, number long, f long")
     return keyed.join(counts, ["shard", "number"]).select("lang", "phrase", "f")
 
 
