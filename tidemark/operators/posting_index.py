@@ -423,12 +423,14 @@ class PostingIndex:
         turn = F.pmod(F.xxhash64("query_id"), F.lit(-(-max(1, queries.count()) // QUERY_BLOCK)))
         wanted = weights.join(alive, "query_id").groupBy("bucket", "term", "range_id", turn.alias("turn")).agg(
             F.collect_list(F.struct("query_id", "idf", "board", "date_from", "date_to", "floor")).alias("asked"))  # at most the queries of a turn
+        # one column as key: places are joined by range before, and a partitioning by that alone must not be taken for theirs
+        place = F.concat_ws("-", "range_id", "turn")
         lists = blocks.join(wanted, ["bucket", "term", "range_id"]).select(
-            "range_id", "turn", "term", "block", "postings", "first", "last", "gaps", "counts", "top_count", "top_length", "asked")
+            place.alias("place"), "term", "block", "postings", "first", "last", "gaps", "counts", "top_count", "top_length", "asked")
         places = ranges.join(wanted.select("range_id", "turn").distinct(), "range_id").select(
-            F.col("range_id").alias("place"), F.col("turn").alias("place_turn"), "units", "lengths", "board", "day")
+            place.alias("place"), "units", "lengths", "board", "day")
         query_type, id_type = queries.schema["query_id"].dataType.simpleString(), ranges.schema["units"].dataType.elementType.simpleString()
-        found = lists.groupBy("range_id", "turn").cogroup(places.groupBy("place", "place_turn")).applyInPandas(
+        found = lists.groupBy("place").cogroup(places.groupBy("place")).applyInPandas(
             _walker(top, average, query_type), f"query_id {query_type}, unit {id_type}, score long, scored long, postings long")
         found = cut(found)
         hits = found.where("unit is not null").select("query_id", "unit", exact_round(F.col("score") / F.lit(FIXED), 6).alias("score"))
