@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 import public_tokenizers
 import pytest
@@ -29,6 +30,30 @@ def test_ids_and_text_as_the_library(library):
         assert own.decode(want) == library.decode(want, skip_special_tokens=False)
 
 
+def test_all_marks_in_pairs(library):
+    """Every combining mark before and after every other one, also those the library's tables don't order."""
+    own = bpe.load(PATH)
+    marks = [chr(c) for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c))]
+    odd = [m for m in marks if own.kind(m) == bpe.UNKNOWN]
+    sure = [m for m in marks if own.kind(m) != bpe.UNKNOWN]
+    assert len(odd) > 50 and len(sure) > 700
+    assert own.encode("a\u0898\u0323") == library.encode("a\u0898\u0323", add_special_tokens=False).ids
+    for first in marks:
+        for others in (sure, odd):  # a text with an odd mark goes through the library as a whole
+            text = " ".join("a" + first + m for m in others)
+            assert own.encode(text) == library.encode(text, add_special_tokens=False).ids, hex(ord(first))
+
+
+def test_random_texts(library):
+    own, rng = bpe.load(PATH), random.Random(11)
+    points = [c for c in range(0x20, 0x1F000) if not 0xD800 <= c < 0xE000]
+    marks = [c for c in points if unicodedata.category(chr(c))[0] == "M"]
+    pick = lambda: chr(rng.choice(marks) if rng.random() < 0.4 else rng.choice(points) if rng.random() < 0.5 else rng.randrange(0x20, 0x250))
+    texts = ["".join(pick() for _ in range(rng.randrange(1, 16))) for _ in range(100_000)]
+    for text, want in zip(texts, library.encode_batch_fast(texts, add_special_tokens=False)):
+        assert own.encode(text) == want.ids, ascii(text)
+
+
 def test_scan_and_heap_merge_alike():
     own, rng = bpe.load(PATH), random.Random(3)
     for _ in range(300):

@@ -6,8 +6,9 @@ Scanning is quadratic, so pieces of more than ``SHORT`` parts take the same merg
 Frequent pieces are remembered, up to a fixed number per task.
 
 Lower-casing, composition and splitting follow this Python's Unicode tables. Text with a character they don't
-know yet is normalised and split by the ``tokenizers`` library, whose tables are newer; merging stays the same.
-Which way a text goes is decided by its distinct characters.
+know yet, or with a combining mark that the ``tokenizers`` library orders otherwise (its tables of letters are newer
+than Python's, those of composition older), is normalised and split by the library; merging stays the same. Which
+way a text goes is decided by its distinct characters; a mark's order is asked of the library once.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import regex
@@ -57,6 +58,15 @@ def kind(c: str) -> int:
     return NUMERAL if c.isalnum() and category[0] != "L" and category != "Nd" else PLAIN
 
 
+# An old mark of each of the classes 1, 220, 230 and 240, which every table orders alike
+OLD_MARKS = "\u0334\u0323\u0301\u0345"
+
+
+def lowered(part: str) -> str:
+    """Composed and lower-cased: each character by itself, also a final sigma."""
+    return unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+
+
 class Bpe:
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
@@ -78,10 +88,34 @@ class Bpe:
         self.last = [self.ids[c + self.end] for c in letters]
         self.pieces, self.plain_pieces = regex.compile(PIECES), re.compile(PLAIN_PIECES)
         self.plain: set[str] = set()  # characters found to be
+        self.kinds: dict[str, int] = {}
         self.marks = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
         self.known: dict[str, list[int]] = {}
         self.before: dict[str, list[int]] = {}
 
+    def kind(self, c: str) -> int:
+        """``kind`` of a character, and ``UNKNOWN`` for a mark that the library doesn't order as Python does."""
+        found = self.kinds.get(c)
+        if found is None:
+            found = kind(c)
+            if unicodedata.category(c)[0] == "M" and found != UNKNOWN and not self.ordered_alike(c, self.ordered_marks):
+                found = UNKNOWN
+            self.kinds[c] = found
+        return found
+
+    def ordered_alike(self, c: str, marks: Sequence[str]) -> bool:
+        probes = (text for m in marks for text in (f"x{c}{m}", f"x{m}{c}"))
+        return all(self.library.normalizer.normalize_str(t) == lowered(t) for t in probes)
+
+    @functools.cached_property
+    def ordered_marks(self) -> list[str]:
+        """For each canonical combining class the first mark that the library and Python order alike."""
+        first: dict[int, str] = {}
+        for c in map(chr, range(0x300, 0x1F000)):
+            if (ccc := unicodedata.combining(c)) and ccc not in first and self.ordered_alike(c, OLD_MARKS):
+                first[ccc] = c
+        return list(first.values())
+
     def merged(self, parts: list[int]) -> list[int]:
         """The rank array: ``ranks[i]`` is that of parts i and i + 1."""
         get, made = self.ranks.get, self.made
@@ -147,9 +181,8 @@ class Bpe:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
-                # each character is lowered by itself, also a final sigma
-                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                kinds = {kind(c) for c in set(plain) - self.plain}
+                plain = lowered(part)
+                kinds = {self.kind(c) for c in set(plain) - self.plain}
                 if UNKNOWN in kinds:
                     for letters, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part)):
                         out += self.joined([self.ids[c] for c in letters[:-1]] + [self.ids[letters[-1] + self.end]])
