@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions import variant as vt
 from tidemark.functions.numeric import exact_round, ratio
 from tidemark.operators.scalars import attach
 
@@ -21,6 +24,10 @@ def param(key: str, kind: str) -> Column:
     return F.get(F.filter("event_params", lambda p: p["key"] == key), F.lit(0))[kind]
 
 
+def variant_param(key: str, kind: str) -> Column:
+    return vt.entry(F.col("event_params"), key, kind)
+
+
 def money(c: str | Column) -> Column:
     """Amounts are summed as DECIMAL so that the order of rows cannot change a total."""
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
@@ -30,8 +37,11 @@ def _is(event: str) -> Column:
     return F.col("event_name") == event
 
 
-def funnel_extract(raw: DataFrame) -> DataFrame:
-    """Funnel events exploded to items; equal grain rows are merged by max and sum."""
+def funnel_extract(raw: DataFrame, param: Callable[[str, str], Column] = param) -> DataFrame:
+    """Funnel events exploded to items; equal grain rows are merged by max and sum.
+
+    ``param`` reads a parameter by key and kind: from typed entries, or with ``variant_param`` from VARIANT.
+    """
     item = F.col("item")
     rows = (raw.where(F.col("event_name").isin(*FUNNEL))
             .select("event_date", "event_ts_micros", "event_name", "user_pseudo_id",

@@ -20,11 +20,17 @@ LAYERS = {  # staging stays a view, marts are written as tables
 }
 
 
-def materialise(name: str, df: DataFrame, schema: str | None = None) -> None:
+def materialise(name: str, df: DataFrame, schema: str | None = None, clustered_by: Sequence[str] = (), buckets: int = 32,
+                sorted_by: Sequence[str] = ()) -> None:
+    """Keep a model as its layer says. A table can be clustered: jobs on its key then need no exchange of it."""
     if LAYERS.get(name, "table") == "view":
         df.createOrReplaceTempView(name)
-    else:
-        df.write.mode("overwrite").saveAsTable(f"{schema}.{name}" if schema else name)
+        return
+    writer = df.write.mode("overwrite")
+    if clustered_by:
+        # by the table's own hash, so that each bucket is written by one task and is one file
+        writer = df.repartition(buckets, *clustered_by).write.mode("overwrite").bucketBy(buckets, *clustered_by).sortBy(*(sorted_by or clustered_by))
+    writer.saveAsTable(f"{schema}.{name}" if schema else name)
 
 
 def stg_video_snapshots(silver: DataFrame) -> DataFrame:

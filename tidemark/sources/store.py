@@ -5,6 +5,7 @@ Partitions are derived columns, so the table keeps its column contract.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.operators.ordering import first_per
 from tidemark.session import cut, scratch_path
 
-HOUR_PARTITION = "captured_hour"
+HOUR_PARTITION, DAY_PARTITION = "captured_hour", "captured_day"
 
 
 class DuplicateKeys(ValueError):
@@ -23,8 +24,11 @@ class EmptyScan(ValueError):
     pass
 
 
-def create_snapshot_table(spark: SparkSession, name: str, using: str = "parquet") -> None:
-    """Typed snapshot table; ``using`` may be a format with hidden hour partitions."""
+def create_snapshot_table(spark: SparkSession, name: str, using: str = "parquet", by: str = HOUR_PARTITION) -> None:
+    """Typed snapshot table; ``using`` may be a format with hidden hour partitions.
+
+    ``by`` is ``HOUR_PARTITION``, or ``DAY_PARTITION`` where an hour of a region holds too little for a file.
+    """
     columns = """video_id string, region string, captured_at timestamp, title string,
         description string, tags string, channel_id string, channel_title string,
         category_id string, published_at timestamp, views bigint, likes bigint,
@@ -34,8 +38,21 @@ def create_snapshot_table(spark: SparkSession, name: str, using: str = "parquet"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING iceberg "
                   "PARTITIONED BY (region, hours(captured_at))")
     else:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {HOUR_PARTITION} string) "
-                  f"USING {using} PARTITIONED BY (region, {HOUR_PARTITION})")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {by} string) USING {using} PARTITIONED BY (region, {by})")
+
+
+def snapshot_schema(spark: SparkSession, name: str) -> str:
+    """A catalogue schema of its own whose tables lie in the shared folder."""
+    schema = f"{name}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, schema)}'")
+    return schema
+
+
+def overwrite_snapshot_table(df: DataFrame, name: str) -> None:
+    """Replace the partitions that ``df`` holds in a table of ``create_snapshot_table``."""
+    columns = df.sparkSession.table(name).columns
+    rows = with_hour(df).withColumn(DAY_PARTITION, F.date_format("captured_at", "yyyyMMdd")).select(*columns)
+    (rows.hint("rebalance", F.col("region"), F.col(columns[-1])).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name))
 
 
 def with_hour(df: DataFrame) -> DataFrame:
