@@ -10,6 +10,7 @@ from tidemark.functions.numeric import exact_round, ratio
 from tidemark.operators.ordering import ntile, ordered_prefix, ranked, top_n
 from tidemark.operators.pairs import frequent_pairs, rules
 from tidemark.operators.scalars import attach
+from tidemark.operators.selection import tiles
 from tidemark.plans.commerce import money
 from tidemark.session import cut
 
@@ -189,7 +190,7 @@ def lifecycle_transitions(orders: DataFrame, user: str, at: str) -> DataFrame:
 
 def ltv_deciles(rfm: DataFrame) -> DataFrame:
     buyers = rfm.where("orders_count >= 1")
-    tiled = ntile(buyers, 10, [F.col("monetary_total").desc(), F.col("user_pseudo_id").asc()], "decile")
+    tiled = tiles(buyers, 10, {"decile": -(money("monetary_total") * 100).cast("long")}, "user_pseudo_id")
     by_decile = tiled.groupBy("decile").agg(
         F.count(F.lit(1)).alias("users_count"), F.sum(money("monetary_total")).alias("monetary_sum"),
         exact_round(F.avg(F.col("aov").cast("decimal(18,2)")), 2).alias("avg_aov"),

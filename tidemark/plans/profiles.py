@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numeric import exact_round, ratio
-from tidemark.operators.ordering import first_per, ntile
+from tidemark.operators.ordering import first_per
 from tidemark.operators.scalars import attach
+from tidemark.operators.selection import tiles
 from tidemark.plans.commerce import money
 
 USER = "user_pseudo_id"
@@ -47,8 +48,8 @@ def _ladder(rules: list[tuple[str, str]]) -> Column:
 def rfm_scores(rfm: DataFrame) -> DataFrame:
     """Quintiles over purchasers only, ties broken by user; segments and tiers on top."""
     out = rfm.where("orders_count >= 1").select(USER, "recency_days", "orders_count", "monetary_total")
-    for score, column in (("_r", "recency_days"), ("f_score", "orders_count"), ("m_score", "monetary_total")):
-        out = ntile(out, 5, [F.col(column).asc(), F.col(USER).asc()], score)
+    cents = (money("monetary_total") * 100).cast("long")
+    out = tiles(out, 5, {"_r": F.col("recency_days"), "f_score": F.col("orders_count"), "m_score": cents}, USER)
     out = out.withColumn("r_score", F.lit(6) - F.col("_r")).drop("_r")
     out = out.withColumn("rfm_total", F.expr("r_score + f_score + m_score"))
     return out.withColumns({
