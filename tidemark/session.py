@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -52,7 +53,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):  # one machine; local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="tidemark-")
     if not context.getCheckpointDir():
