@@ -53,3 +53,14 @@ def test_bounds_reach_the_scan(spark):
     assert "GreaterThanOrEqual(ts," in text and "LessThan(ts," in text
     whole = Tables(spark, DATA).events
     assert day.count() == whole.where("ts >= timestamp'2024-01-05' and ts < timestamp'2024-01-06'").count() > 0
+
+
+def test_single_day_extract_bounds_its_scan(spark):
+    from tidemark.catalog.commerce import single_day_extract
+    from tidemark.session import configure
+
+    configure(spark)
+    day = single_day_extract(Tables(spark, DATA))
+    text = day._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in text and "LessThan(ts," in text
+    assert {r["event_date"].isoformat() for r in day.select("event_date").distinct().collect()} == {"2024-01-15"}

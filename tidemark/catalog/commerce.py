@@ -132,7 +132,8 @@ def funnel_extract(t: Tables):
 
 @query("single_day_extract", _GA + " WHERE event_date = date '2024-01-15'")
 def single_day_extract(t: Tables):
-    return commerce.single_day(adapters.commerce_raw(t), "2024-01-15")
+    day = t.within("events", "ts", "2024-01-15 00:00:00", "2024-01-16 00:00:00")  # a filter on the derived date wouldn't reach the scan
+    return commerce.single_day(adapters.commerce_raw(day), "2024-01-15")
 
 
 @query("user_item_interactions", """

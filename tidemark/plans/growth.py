@@ -65,7 +65,7 @@ def _rates(steps: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def funnel(facts: DataFrame, theta: float = BOTTLENECK) -> DataFrame:
     keys = ["basis", "segment_type", "segment_value"]
-    rows = segmented(with_source_slice(facts))
+    rows = segmented(with_source_slice(cut(facts)))  # read by the source list and by both bases
     users = rows.groupBy("segment_type", "segment_value", "user_pseudo_id").agg(
         *[F.bool_or(f).alias(f) for f in FLAGS])
     both = (_reached(rows.withColumn("basis", F.lit("session")), keys)
@@ -134,10 +134,8 @@ def cart_abandonment(facts: DataFrame, events: DataFrame) -> DataFrame:
     in_cart = events.where("event_name = 'add_to_cart' and ga_session_id is not null").groupBy(
         "user_pseudo_id", "ga_session_id").agg(
         F.sum(money(F.col("price")) * F.coalesce("quantity", F.lit(1))).alias("_cart"))
-    rows = facts.where("did_cart").join(in_cart, ["user_pseudo_id", "ga_session_id"], "left")
     # the shown sources are chosen over all sessions, before the cart filter
-    shown = with_source_slice(facts).select("user_pseudo_id", "ga_session_id", "source_slice")
-    rows = rows.join(shown, ["user_pseudo_id", "ga_session_id"])
+    rows = with_source_slice(cut(facts)).where("did_cart").join(in_cart, ["user_pseudo_id", "ga_session_id"], "left")
     out = segmented(rows).groupBy("segment_type", "segment_value").agg(
         F.count(F.lit(1)).alias("carted_sessions"),
         F.count_if("did_purchase").alias("purchased_after_cart_sessions"),

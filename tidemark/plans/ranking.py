@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numeric import exact_round
+from tidemark.operators.ordering import top_n
 from tidemark.operators.scalars import attach
 
 
@@ -27,10 +28,9 @@ def rank_metrics(ranked: DataFrame, judged: DataFrame, keys: Sequence[str], k: i
         F.count_if(rel).alias("hits"), F.sum(gain / discount).alias("dcg"),
         F.sum(F.when(rel, F.col("_seen") / F.col("rank")).otherwise(0.0)).alias("precisions"),
         F.min(F.when(rel, F.col("rank"))).alias("first")))
-    best = judged.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("grade").desc(), "item_id")))
-    ideal = best.groupBy(*keys).agg(
-        F.count_if(rel).alias("relevant"),
-        F.sum(F.when(F.col("_i") <= k, gain / F.log2(F.col("_i") + 1))).alias("idcg"))
+    best = top_n(judged, keys, [F.col("grade").desc(), F.col("item_id").asc()], k, "_i")
+    best = best.groupBy(*keys).agg(F.sum(gain / F.log2(F.col("_i") + 1)).alias("idcg"))
+    ideal = judged.groupBy(*keys).agg(F.count_if(rel).alias("relevant")).join(best, list(keys))
     variants = F.array_sort(F.collect_set("variant"))
     every = ideal.transform(attach, ranked.agg(variants.alias("_v"))).withColumn("variant", F.explode("_v")).drop("_v")
     rows = every.join(got, ["variant", *keys], "left").na.fill(0)
