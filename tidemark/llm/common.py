@@ -3,13 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import scratch_path, shared_folder
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """While it holds, shuffle files go with the write or checkpoint that made them, not with a later collection of
+    garbage: loops of many small steps don't fill the executors' disks. What needs them again makes them again.
+    """
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import components, only, written
+from tidemark.llm.common import components, only, released, written
 
 SHINGLE = 8
 BAND, BANDS = 3, 8
@@ -151,6 +151,11 @@ def line_classes(docs: DataFrame, similar: float = 0.8, rounds: int = ROUNDS, id
     part. Rows that repeat an id and a text are one document, and keep the same lines; ``version`` is the
     hash of the text, which tells texts of one id apart. With ``fold_case`` lines are compared in lower case.
     """
+    with released(docs.sparkSession):
+        return _line_classes(docs, similar, rounds, id_col, text_col, fold_case)
+
+
+def _line_classes(docs: DataFrame, similar: float, rounds: int, id_col: str, text_col: str, fold_case: bool) -> DataFrame:
     found = lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col, fold_case)
     ids = signatures(found).withColumn("id", F.monotonically_increasing_id())
     reps = written(ids, "lines")  # the ids are fixed once the table is written
