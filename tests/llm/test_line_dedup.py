@@ -87,3 +87,17 @@ def test_query_and_pipeline_ignore_case(spark, tmp_path):
     assert got == {1: 1, 2: 1, 3: 3, 4: 3}
     left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert left == {1: "All rights reserved.", 2: "", 3: "Größe und Länge in Zentimetern", 4: ""}
+
+
+def test_sketches_never_rule_out_a_similar_pair(spark):
+    """On pairs of every similarity: those of 0.8 or more pass, and most unlike ones don't."""
+    from tidemark.llm import line_dedup as ld
+    base = [prose(40 + i, 3 + i % 40, 60) for i in range(400)]
+    rows = [(i, x, edited(x, i, (i % 10) / 20)) for i, x in enumerate(base)] + [(400 + i, x, base[i - 1]) for i, x in enumerate(base)]
+    cells = spark.createDataFrame(rows, "i long, x string, y string").select("i", ld.shingle_set(F.col("x")).alias("u"), ld.shingle_set(F.col("y")).alias("v"))
+    alike = F.size(F.array_intersect("u", "v")) / F.size(F.array_union("u", "v"))
+    passed = ld.may_share(F.size("u"), F.size("v"), ld.sketch(F.col("u")), ld.sketch(F.col("v")), 0.8)
+    got = cells.select(alike.alias("alike"), passed.alias("passed")).collect()
+    assert sum(r["alike"] >= 0.8 for r in got) > 50 and all(r["passed"] for r in got if r["alike"] >= 0.8)
+    unlike = [r["passed"] for r in got if r["alike"] < 0.4]
+    assert len(unlike) > 200 and sum(unlike) < 0.1 * len(unlike)

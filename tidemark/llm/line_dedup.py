@@ -9,7 +9,9 @@ A band never emits its pairs. Its most frequent line is compared with the others
 another component, the most frequent of those is compared with all that differ from it, and so on for ``rounds``
 rounds, each with a line that hasn't been compared yet. What then still lies in several components is compared in
 blocks of bounded size, each pair of a band's blocks once: a row is a pair of blocks. So every two lines that share a
-band are linked or ruled out. Every comparison is an exact Jaccard similarity of the full sets. Components are found
+band are linked or ruled out. Every comparison is an exact Jaccard similarity of the full sets, made unless
+sizes or sketches (256 bits set by the shingles: one that only the first line sets is a shingle the other lacks) prove
+that too few shingles are shared. Components are found
 by distributed union-find, and each keeps its first line by document and position.
 
 Before texts or bands are shuffled again, rows that can't take part are dropped by a bitmap of fixed size.
@@ -26,6 +28,7 @@ BAND, BANDS = 3, 8
 ROUNDS = 3
 WINDOWS = 8  # of a row while signatures are taken
 BLOCK_LINES, BLOCK_SHINGLES = 64, 1 << 16  # of a block, about
+SKETCH = 4  # words of 64 bits of a line's sketch
 WORD_BITS = 19  # the bitmap has 2^19 words of 64 bits
 ENDS = "".join(map(chr, range(33)))
 # Fixed values, spread by multiples of the golden ratio: each is mixed into a window's hash, which is then hashed again
@@ -57,6 +60,30 @@ def shingle_set(line: Column) -> Column:
     return F.array_distinct(F.transform(encoded, lambda b: F.transform(F.sequence(F.lit(1), _count(b)), lambda i: _window(b, i)))[0])
 
 
+def sketch(shingles: Column) -> list[Column]:
+    """Words of 64 bits in which every shingle sets one bit, by its own hash."""
+    def word(q: int) -> Column:
+        def put(bits: Column, h: Column) -> Column:
+            mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 8).bitwiseAND(F.lit(63)).cast("int"))
+            return F.when(h.bitwiseAND(F.lit(SKETCH - 1)) == q, bits.bitwiseOR(mask)).otherwise(bits)
+
+        return F.aggregate(shingles, F.lit(0).cast("long"), put)
+
+    return [word(q).alias(f"s{q}") for q in range(SKETCH)]
+
+
+def may_share(n: Column, m: Column, one: list[Column], two: list[Column], least: float) -> Column:
+    """Whether sets of n and m shingles with these sketches can have a Jaccard similarity of at least ``least``.
+
+    A bit that only one sketch has stands for a shingle, at least, that the other set lacks. Never false for a similar pair.
+    """
+    def lacking(u: list[Column], v: list[Column]) -> Column:
+        return sum((F.bit_count(a.bitwiseAND(F.bitwise_not(b))) for a, b in zip(u, v)), F.lit(0))
+
+    shared = F.least(n - lacking(one, two), m - lacking(two, one))
+    return (F.least(n, m) >= least * F.greatest(n, m)) & (shared * (1 + least) >= least * (n + m) - 1e-6)
+
+
 def signatures(found: DataFrame) -> DataFrame:
     """(k1, k2, n, b0, b1, ...) of distinct lines: number of occurrences, and the band keys.
 
@@ -89,11 +116,13 @@ def possible(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose full sets have a Jaccard similarity of at least ``least``.
 
-    Sets whose sizes differ too much can't be that similar: those aren't built.
+    Sets whose sizes or sketches differ too much can't be that similar: those aren't built.
     """
-    one = texts.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("size").alias("n"))
-    two = texts.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("size").alias("m"))
-    both = pairs.join(one, "a").join(two, "b").where(F.least("n", "m") >= least * F.greatest("n", "m"))
+    words = range(SKETCH)
+    one = texts.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("size").alias("n"), *[F.col(f"s{q}").alias(f"u{q}") for q in words])
+    two = texts.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("size").alias("m"), *[F.col(f"s{q}").alias(f"v{q}") for q in words])
+    likely = may_share(F.col("n"), F.col("m"), [F.col(f"u{q}") for q in words], [F.col(f"v{q}") for q in words], least)
+    both = pairs.join(one, "a").join(two, "b").where(likely)
     common = F.size(F.array_intersect(shingle_set(F.col("x")), shingle_set(F.col("y"))))
     sized = both.select("a", "b", "n", "m", common.alias("k"))
     return sized.where(F.col("k") >= least * (F.col("n") + F.col("m") - F.col("k"))).select("a", "b")
@@ -111,8 +140,9 @@ def _block_links(members: DataFrame, texts: DataFrame, least: float) -> DataFram
         F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("band", "blocks")
     dealt = sized.join(facts, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # lines are moved, not their sets, which take eight times the room
-    dealt = dealt.join(texts.select("id", "line"), "id")
-    cell = F.struct("id", "class", "size", "line")
+    words = [f"s{q}" for q in range(SKETCH)]
+    dealt = dealt.join(texts.select("id", "line", *words), "id")
+    cell = F.struct("id", "class", "size", "line", *words)
     blocks = written(dealt.groupBy("band", "blocks", "block").agg(F.collect_list(cell).alias("cells")), "blocks")
     one = blocks.select("band", F.col("block").alias("i"), F.col("cells").alias("x"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
     two = blocks.select("band", F.col("block").alias("j"), F.col("cells").alias("y"))
@@ -123,10 +153,11 @@ def _block_links(members: DataFrame, texts: DataFrame, least: float) -> DataFram
         enough = F.size(F.array_intersect(u["set"], v["set"])) * (1 + least) >= least * (n + m) - 1e-6
         # within a block each pair once
         apart = (u["class"] != v["class"]) & ((F.col("i") != F.col("j")) | (u["id"] < v["id"]))
-        return apart & (F.least(n, m) >= least * F.greatest(n, m)) & enough
+        return apart & may_share(n, m, [u[w] for w in words], [v[w] for w in words], least) & enough
 
     def built(cells: str) -> Column:
-        return F.transform(cells, lambda c: F.struct(c["id"].alias("id"), c["class"].alias("class"), c["size"].alias("size"), shingle_set(c["line"]).alias("set")))
+        return F.transform(cells, lambda c: F.struct(c["id"].alias("id"), c["class"].alias("class"), c["size"].alias("size"), *[c[w].alias(w) for w in words],
+                                                          shingle_set(c["line"]).alias("set")))
 
     # the sets of both blocks are built once a row: the second block's are bound
     found = F.transform(F.array(built("y")), lambda all_: F.flatten(F.transform(built("x"), lambda u: F.transform(
@@ -169,7 +200,8 @@ def _line_classes(docs: DataFrame, similar: float, rounds: int, id_col: str, tex
     wanted = reps.join(live.select("id").distinct(), "id", "left_semi").select("id", "k1", "k2")
     # copies collapse in the map tasks, before the texts of distinct lines are shuffled
     texts = possible(found, "k1", wanted.select("k1")).groupBy("k1", "k2").agg(F.min("line").alias("line"))
-    texts = texts.join(wanted, ["k1", "k2"]).select("id", "line", F.size(shingle_set(F.col("line"))).alias("size"))
+    texts = texts.join(wanted, ["k1", "k2"]).select("id", "line", shingle_set(F.col("line")).alias("set"))
+    texts = texts.select("id", "line", F.size("set").alias("size"), *sketch(F.col("set")))
     texts = written(texts, "texts")
 
     links = _similar(live.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), texts, similar)
