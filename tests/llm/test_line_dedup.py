@@ -101,3 +101,23 @@ def test_sketches_never_rule_out_a_similar_pair(spark):
     assert sum(r["alike"] >= 0.8 for r in got) > 50 and all(r["passed"] for r in got if r["alike"] >= 0.8)
     unlike = [r["passed"] for r in got if r["alike"] < 0.4]
     assert len(unlike) > 200 and sum(unlike) < 0.1 * len(unlike)
+
+
+def test_sketches_tell_long_lines_apart(spark):
+    """Lines of 900 to 1100 windows filled the 256 bits there once were, so that unlike ones were compared in full."""
+    from tidemark.llm import line_dedup as ld
+    base = [prose(300 + i, 200) for i in range(12)]
+    rows = [(3 * i + j, x) for i, b in enumerate(base) for j, x in enumerate((b, b + " x", edited(b, i, 0.5)))]
+    lines = spark.createDataFrame(rows, "id long, line string").withColumn("set", ld.shingle_set(F.col("line")))
+    marks = ld.sketches(lines).cache()
+    wanted = {r["id"]: r for r in lines.select("id", *ld.sketch(F.col("set"))).collect()}
+    assert {r["id"]: r for r in marks.collect()} == wanted  # window by window as from the sets
+    sized = marks.join(lines.select("id", "set"), "id").alias("u")
+    pairs = sized.join(sized.alias("v"), F.col("u.id") < F.col("v.id"))
+    words = [[F.col(f"{t}.s{q}") for q in range(ld.SKETCH)] for t in "uv"]
+    passed = ld.may_share(F.size("u.set"), F.size("v.set"), *words, 0.8)
+    alike = F.size(F.array_intersect("u.set", "v.set")) / F.size(F.array_union("u.set", "v.set"))
+    got = pairs.select(alike.alias("alike"), passed.alias("passed")).collect()
+    assert sum(r["alike"] >= 0.8 for r in got) >= 12 and all(r["passed"] for r in got if r["alike"] >= 0.8)
+    unlike = [r["passed"] for r in got if r["alike"] < 0.5]
+    assert len(unlike) > 500 and sum(unlike) < 0.1 * len(unlike)

@@ -2,15 +2,15 @@
 
 A line's set is its distinct windows of eight characters (code points), without the spaces at its ends. Exact copies
 are one class from the start, counted before anything is shuffled. Signature: the smallest shingle hash under
-24 independent hash functions, all taken in one pass over the exploded shingles, eight of them a row. Banding: eight bands of three minima, which
-lines of similarity 0.8 miss with probability 0.003, of 0.9 with 0.00003.
+24 independent hash functions (disjoint parts of eight hashes), all taken in one pass over the exploded shingles, eight of them a row.
+Banding: eight bands of three minima, which lines of similarity 0.8 miss with probability 0.003, of 0.9 with 0.00003.
 
 A band never emits its pairs. Its most frequent line is compared with the others; where some of them end up in
 another component, the most frequent of those is compared with all that differ from it, and so on for ``rounds``
 rounds, each with a line that hasn't been compared yet. What then still lies in several components is compared in
-blocks of bounded size, each pair of a band's blocks once: a row is a pair of blocks. So every two lines that share a
+blocks of bounded size, each pair of a band's blocks once. So every two lines that share a
 band are linked or ruled out. Every comparison is an exact Jaccard similarity of the full sets, made unless
-sizes or sketches (256 bits set by the shingles: one that only the first line sets is a shingle the other lacks) prove
+sizes or sketches (1024 bits set by the shingles: one that only the first line sets is a shingle the other lacks) prove
 that too few shingles are shared. Components are found
 by distributed union-find, and each keeps its first line by document and position.
 
@@ -19,6 +19,8 @@ Before texts or bands are shuffled again, rows that can't take part are dropped
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import components, only, released, written
@@ -27,12 +29,13 @@ SHINGLE = 8
 BAND, BANDS = 3, 8
 ROUNDS = 3
 WINDOWS = 8  # of a row while signatures are taken
-BLOCK_LINES, BLOCK_SHINGLES = 64, 1 << 16  # of a block, about
-SKETCH = 4  # words of 64 bits of a line's sketch
+BLOCK_LINES = 256  # of a block, about
+SKETCH = 16  # words of 64 bits of a line's sketch
 WORD_BITS = 19  # the bitmap has 2^19 words of 64 bits
 ENDS = "".join(map(chr, range(33)))
 # Fixed values, spread by multiples of the golden ratio: each is mixed into a window's hash, which is then hashed again
-MASKS = [((i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) - (1 << 63) for i in range(BAND * BANDS)]
+MASKS = [((i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) - (1 << 63) for i in range(BANDS)]
+PART = 64 // BAND  # bits of such a hash by which one minimum is taken: disjoint parts of a hash are independent
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold_case: bool = False) -> DataFrame:
@@ -60,14 +63,16 @@ def shingle_set(line: Column) -> Column:
     return F.array_distinct(F.transform(encoded, lambda b: F.transform(F.sequence(F.lit(1), _count(b)), lambda i: _window(b, i)))[0])
 
 
+def _bit(h: Column, q: int) -> Column:
+    """The bit that a shingle's hash sets in word ``q`` of a sketch: none in all words but one."""
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 8).bitwiseAND(F.lit(63)).cast("int"))
+    return F.when(h.bitwiseAND(F.lit(SKETCH - 1)) == q, mask).otherwise(F.lit(0).cast("long"))
+
+
 def sketch(shingles: Column) -> list[Column]:
-    """Words of 64 bits in which every shingle sets one bit, by its own hash."""
+    """Words of 64 bits in which every shingle of an array sets one bit, by its own hash."""
     def word(q: int) -> Column:
-        def put(bits: Column, h: Column) -> Column:
-            mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 8).bitwiseAND(F.lit(63)).cast("int"))
-            return F.when(h.bitwiseAND(F.lit(SKETCH - 1)) == q, bits.bitwiseOR(mask)).otherwise(bits)
-
-        return F.aggregate(shingles, F.lit(0).cast("long"), put)
+        return F.aggregate(shingles, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseOR(_bit(h, q)))
 
     return [word(q).alias(f"s{q}") for q in range(SKETCH)]
 
@@ -84,18 +89,36 @@ def may_share(n: Column, m: Column, one: list[Column], two: list[Column], least:
     return (F.least(n, m) >= least * F.greatest(n, m)) & (shared * (1 + least) >= least * (n + m) - 1e-6)
 
 
+def windows(cells: DataFrame, *keys: str) -> DataFrame:
+    """(keys, i, h0, h1, ...) of (keys, line): the hashes of the windows of every line, some of them a row.
+
+    In a line's last row the last window fills the rest, which neither minima nor sets notice.
+    """
+    cells = cells.select(*keys, F.encode("line", "UTF-32").alias("data")).withColumn("last", _count(F.col("data")))
+    cells = cells.select("*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(WINDOWS))).alias("i"))
+    return cells.select(*keys, "i", *[_window(F.col("data"), F.least(F.col("i") + w, F.col("last"))).alias(f"h{w}") for w in range(WINDOWS)])
+
+
+def sketches(texts: DataFrame) -> DataFrame:
+    """(id, s0, s1, ...) of (id, line): ``sketch`` of every line's set, taken from the windows in one pass."""
+    cells = windows(texts, "id")
+    words = [F.bit_or(reduce(Column.bitwiseOR, [_bit(F.col(f"h{w}"), q) for w in range(WINDOWS)])).alias(f"s{q}") for q in range(SKETCH)]
+    return cells.groupBy("id").agg(*words)
+
+
 def signatures(found: DataFrame) -> DataFrame:
     """(k1, k2, n, b0, b1, ...) of distinct lines: number of occurrences, and the band keys.
 
-    Rows hold numbers of 64 bits only, for aggregation without sorting. In a line's last row the last
-    window fills the rest, which no minimum notices.
+    Rows hold numbers of 64 bits only, for aggregation without sorting. A band's hash of a window gives its three
+    minima, each by other bits: shifted, these decide which is smallest.
     """
-    cells = found.select("k1", "k2", F.encode("line", "UTF-32").alias("data")).withColumn("last", _count(F.col("data")))
-    cells = cells.select("*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(WINDOWS))).alias("i"))
-    hashes = [_window(F.col("data"), F.least(F.col("i") + w, F.col("last"))).alias(f"h{w}") for w in range(WINDOWS)]
-    cells = cells.select("k1", "k2", (F.col("i") == 1).cast("long").alias("whole"), *hashes)
-    least = [F.min(F.least(*[F.xxhash64(F.col(f"h{w}").bitwiseXOR(F.lit(m))) for w in range(WINDOWS)])).alias(f"m{j}") for j, m in enumerate(MASKS)]
-    grouped = cells.groupBy("k1", "k2").agg(F.sum("whole").alias("n"), *least)
+    cells = windows(found, "k1", "k2")
+
+    def smallest(b: int, j: int) -> Column:
+        return F.min(F.least(*[F.shiftleft(F.xxhash64(F.col(f"h{w}").bitwiseXOR(F.lit(MASKS[b]))), PART * j) for w in range(WINDOWS)])).alias(f"m{BAND * b + j}")
+
+    least = [smallest(b, j) for b in range(BANDS) for j in range(BAND)]
+    grouped = cells.groupBy("k1", "k2").agg(F.sum((F.col("i") == 1).cast("long")).alias("n"), *least)
     bands = [F.xxhash64(F.lit(b), *[F.col(f"m{BAND * b + j}") for j in range(BAND)]).alias(f"b{b}") for b in range(BANDS)]
     return grouped.select("k1", "k2", "n", *bands)
 
@@ -113,56 +136,48 @@ def possible(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return kept.drop("_word", "_bits")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _similar(pairs: DataFrame, texts: DataFrame, marks: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose full sets have a Jaccard similarity of at least ``least``.
 
-    Sets whose sizes or sketches differ too much can't be that similar: those aren't built.
+    Sets whose sizes or sketches differ too much can't be that similar: their lines aren't moved.
     """
     words = range(SKETCH)
-    one = texts.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("size").alias("n"), *[F.col(f"s{q}").alias(f"u{q}") for q in words])
-    two = texts.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("size").alias("m"), *[F.col(f"s{q}").alias(f"v{q}") for q in words])
+    one = marks.select(F.col("id").alias("a"), F.col("size").alias("n"), *[F.col(f"s{q}").alias(f"u{q}") for q in words])
+    two = marks.select(F.col("id").alias("b"), F.col("size").alias("m"), *[F.col(f"s{q}").alias(f"v{q}") for q in words])
     likely = may_share(F.col("n"), F.col("m"), [F.col(f"u{q}") for q in words], [F.col(f"v{q}") for q in words], least)
-    both = pairs.join(one, "a").join(two, "b").where(likely)
+    return _confirmed(pairs.join(one, "a").join(two, (pairs["b"] == two["b"]) & likely).select("a", pairs["b"], "n", "m"), texts, least)
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of (a, b, n, m), n and m being the sizes of their sets, that are as similar as that."""
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     common = F.size(F.array_intersect(shingle_set(F.col("x")), shingle_set(F.col("y"))))
     sized = both.select("a", "b", "n", "m", common.alias("k"))
     return sized.where(F.col("k") >= least * (F.col("n") + F.col("m") - F.col("k"))).select("a", "b")
 
 
-def _block_links(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _block_links(members: DataFrame, texts: DataFrame, marks: DataFrame, least: float) -> DataFrame:
     """Links (a, b) between the classes of each band of ``members`` (band, id, class), all its pairs compared.
 
-    A band is dealt to blocks by its number of lines and their shingles. Of two classes in a pair of blocks
-    similar pairs are returned, a pair of lines that isn't similar is never a row.
+    A band is dealt to blocks by its number of lines, which meet two at a time. Sketches are compared within the
+    join: a pair of lines that they rule out is never a row, and only the lines of the others are moved.
     """
-    sized = members.select("band", "id", "class").join(texts.select("id", "size"), "id")
-    facts = sized.groupBy("band").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_LINES), F.ceil(F.sum("size") / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("blocks"),
-        F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("band", "blocks")
-    dealt = sized.join(facts, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # lines are moved, not their sets, which take eight times the room
-    words = [f"s{q}" for q in range(SKETCH)]
-    dealt = dealt.join(texts.select("id", "line", *words), "id")
-    cell = F.struct("id", "class", "size", "line", *words)
-    blocks = written(dealt.groupBy("band", "blocks", "block").agg(F.collect_list(cell).alias("cells")), "blocks")
-    one = blocks.select("band", F.col("block").alias("i"), F.col("cells").alias("x"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
-    two = blocks.select("band", F.col("block").alias("j"), F.col("cells").alias("y"))
-
-    def alike(u: Column, v: Column) -> Column:
-        n, m = u["size"], v["size"]
-        # the shared shingles of a pair that is similar: least * (n + m) / (1 + least)
-        enough = F.size(F.array_intersect(u["set"], v["set"])) * (1 + least) >= least * (n + m) - 1e-6
-        # within a block each pair once
-        apart = (u["class"] != v["class"]) & ((F.col("i") != F.col("j")) | (u["id"] < v["id"]))
-        return apart & may_share(n, m, [u[w] for w in words], [v[w] for w in words], least) & enough
-
-    def built(cells: str) -> Column:
-        return F.transform(cells, lambda c: F.struct(c["id"].alias("id"), c["class"].alias("class"), c["size"].alias("size"), *[c[w].alias(w) for w in words],
-                                                          shingle_set(c["line"]).alias("set")))
-
-    # the sets of both blocks are built once a row: the second block's are bound
-    found = F.transform(F.array(built("y")), lambda all_: F.flatten(F.transform(built("x"), lambda u: F.transform(
-        F.filter(all_, lambda v: alike(u, v)), lambda v: F.struct(u["id"].alias("a"), v["id"].alias("b"))))))[0]
-    return one.join(two, ["band", "j"]).select(F.explode(found).alias("p")).select("p.a", "p.b").distinct()
+    facts = members.groupBy("band").agg(F.greatest(F.ceil(F.count("*") / BLOCK_LINES), F.lit(1)).cast("int").alias("blocks"),
+                                        F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("band", "blocks")
+    dealt = members.select("band", "id", "class").join(facts, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = written(dealt.join(marks, "id"), "blocks")
+    words = range(SKETCH)
+    one = dealt.select("band", F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), F.col("id").alias("a"),
+                       F.col("class").alias("of_a"), F.col("size").alias("n"), *[F.col(f"s{q}").alias(f"u{q}") for q in words])
+    two = dealt.select(F.col("band").alias("_band"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("_i"), F.col("block").alias("_j"), F.col("id").alias("b"),
+                       F.col("class").alias("of_b"), F.col("size").alias("m"), *[F.col(f"s{q}").alias(f"v{q}") for q in words])
+    met = (F.col("band") == F.col("_band")) & (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")) & (F.col("of_a") != F.col("of_b"))
+    # within a block each pair once
+    met &= (F.col("i") != F.col("j")) | (F.col("a") < F.col("b"))
+    met &= may_share(F.col("n"), F.col("m"), [F.col(f"u{q}") for q in words], [F.col(f"v{q}") for q in words], least)
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("n")).otherwise(F.col("m")).alias("n"),
+            F.when(F.col("a") < F.col("b"), F.col("m")).otherwise(F.col("n")).alias("m")]
+    return _confirmed(one.join(two, met).select(*ends).distinct(), texts, least)
 
 
 def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -200,11 +215,10 @@ def _line_classes(docs: DataFrame, similar: float, rounds: int, id_col: str, tex
     wanted = reps.join(live.select("id").distinct(), "id", "left_semi").select("id", "k1", "k2")
     # copies collapse in the map tasks, before the texts of distinct lines are shuffled
     texts = possible(found, "k1", wanted.select("k1")).groupBy("k1", "k2").agg(F.min("line").alias("line"))
-    texts = texts.join(wanted, ["k1", "k2"]).select("id", "line", shingle_set(F.col("line")).alias("set"))
-    texts = texts.select("id", "line", F.size("set").alias("size"), *sketch(F.col("set")))
-    texts = written(texts, "texts")
+    texts = written(texts.join(wanted, ["k1", "k2"]).select("id", "line", F.size(shingle_set(F.col("line"))).alias("size")), "texts")
+    marks = written(texts.select("id", "size").join(sketches(texts), "id"), "sketches")
 
-    links = _similar(live.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), texts, similar)
+    links = _similar(live.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), texts, marks, similar)
     classes = _merged(wanted.select("id", F.col("id").alias("class")), links)
     for _ in range(rounds - 1):
         placed = live.join(classes, "id").select("band", "id", "weight", "class", (F.col("id") == F.col("head")).alias("is_head"))
@@ -219,9 +233,9 @@ def _line_classes(docs: DataFrame, similar: float, rounds: int, id_col: str, tex
             break
         pairs = placed.join(new, "band").where("class <> of").select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b"))
         live = written(placed.drop("class", "is_head").join(new.select("band", "head"), "band"), "bands")
-        classes = _merged(classes, _similar(pairs.distinct(), texts, similar))
+        classes = _merged(classes, _similar(pairs.distinct(), texts, marks, similar))
     if live is not None:
-        links = written(_block_links(live.where("id <> head").join(classes, "id"), texts, similar), "block-links")
+        links = written(_block_links(live.where("id <> head").join(classes, "id"), texts, marks, similar), "block-links")
         if links.limit(1).count():
             classes = _merged(classes, links)
 
