@@ -84,3 +84,12 @@ def test_trie_holds_its_keys_only(seed):
     starts = np.r_[0, np.flatnonzero(text == 10)[:-1] + 1]
     found = np.bincount(trie.accepted(text, starts, 0), minlength=len(inside))
     assert (found == 1).all() and found.sum() == len(inside) < len(inside) + len(outside)
+
+
+def test_first_sums_take_several_vectors(spark):
+    """32 tasks made 32 first sums of one vector each: a group for every row, and nothing summed."""
+    assert [ph.partial_sums(n) for n in (0, 1, 32, 100, 2000)] == [1, 1, 5, 10, 44]
+    rows = [("a b c d. " * 12, "en")] * 40
+    docs = docs_frame(spark, [(i, *r) for i, r in enumerate(rows)]).repartition(20)
+    got = {(r["phrase"], r["a"]) for r in ph.phrases(docs).collect()}
+    assert got == {(p, a) for _, _, p, a, *_ in brute(rows)}

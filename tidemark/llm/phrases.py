@@ -16,6 +16,7 @@ slices, first some tasks', then these sums.
 
 from __future__ import annotations
 
+import math
 import pickle
 import re
 from collections.abc import Iterator
@@ -37,7 +38,6 @@ BITS = 26  # of a position in the bitmap of frequent phrases
 SHARD_BYTES = 6 << 20  # of the keys of a trie
 ROUND_BYTES = 96 << 20  # of tries broadcast together
 SLICE = 4096  # keys of a trie whose counts are one row
-PARTIAL = 32  # sums of tasks' vectors that are taken first, so that no group holds all tasks' vectors
 # Fixed values of the contract: where pieces end, what parts words (bytes)
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BYTES = bytes(0x0A if b in PIECE_ENDS else 0x20 if b == 0x09 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -226,6 +226,13 @@ def _sum(frame: pd.DataFrame) -> np.ndarray:
     return total
 
 
+def partial_sums(tasks: int) -> int:
+    """How many sums of a slice are taken first: the root of the tasks, so that neither step's groups hold all vectors
+    and the first step's hold several each.
+    """
+    return max(1, math.isqrt(tasks))
+
+
 def _part(key, frame: pd.DataFrame) -> pd.DataFrame:
     """The sum of some tasks' vectors of one slice."""
     return pd.DataFrame({"shard": [key[0]], "at": [key[1]], "counts": [_sum(frame).tobytes()]})
@@ -254,7 +261,7 @@ def count_by_tries(texts: DataFrame, phrases: DataFrame) -> DataFrame:
         rounds[-1].append(row["shard"])
         used += row["bytes"]
 
-    counts = None
+    counts, salts = None, partial_sums(texts.rdd.getNumPartitions())
     for numbers in filter(None, rounds):
         shared = context.broadcast([pickle.loads(r["trie"]) for r in tries.where(F.col("shard").isin(numbers)).collect()])
 
@@ -269,7 +276,7 @@ def count_by_tries(texts: DataFrame, phrases: DataFrame) -> DataFrame:
                 at, heads = block.start[order], heads[order]
                 for shard, sums in zip(tries, total):
                     sums += np.bincount(shard.numbers(lang, block, at, heads), minlength=len(sums))
-            mine = TaskContext.get().partitionId() % PARTIAL
+            mine = TaskContext.get().partitionId() % salts
             for shard, sums in zip(tries, total):
                 at = [i for i in range(0, len(sums), SLICE) if sums[i:i + SLICE].any()]
                 yield pa.RecordBatch.from_arrays([pa.array([shard.number] * len(at), pa.int32()), pa.array(at, pa.int64()), pa.array([mine] * len(at), pa.int32()),
