@@ -88,7 +88,7 @@ def lexical_search(t: Tables):
 
 def arms(t: Tables) -> dict[str, DataFrame]:
     asked = queries(t)
-    hits = search.lexical(search.chunks(search.corpus(t.documents)), asked, top=None)
+    hits = search.lexical(search.chunks(search.corpus(t.documents)), asked, top=None, documents=search.ARM)
     lex = cut(search.best_chunk(hits))
     vectors = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
     asked_vectors = asked.join(vectors.withColumnRenamed("doc_id", "query_id"), "query_id").select("query_id", "vector")

@@ -74,3 +74,19 @@ def cut(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a compressed table in the shared folder, read back.
+
+    Like ``cut`` for rows that are many: a checkpoint's files are not compressed. Shuffle files that made the
+    table go with it; what needs them again makes them again.
+    """
+    spark, path, cleanup = df.sparkSession, scratch_path(df.sparkSession, name), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, None)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
+    return spark.read.schema(df.schema).parquet(path)
