@@ -12,11 +12,11 @@ No pair of vectors is ever a row.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tidemark.operators.ordering import top_n
 from tidemark.session import cut
@@ -80,36 +80,28 @@ def _blocks(df: DataFrame, pivots: np.ndarray, block_rows: int) -> DataFrame:
     return cut(blocks.withColumn("block", F.monotonically_increasing_id()))
 
 
-def _rounds(spark: SparkSession, blocks: DataFrame) -> Iterator[list]:
-    """Lists of broadcast pieces, one list a round; only one piece at a time is held here."""
-    sizes = blocks.select("block", F.length("vectors").alias("n")).orderBy("block").collect()
+def broadcast_rounds(spark: SparkSession, blocks: DataFrame, told: Callable[[Row], tuple]) -> Iterator[list]:
+    """Lists of broadcast pieces of ``blocks`` (block, vectors, ...), one list a round. Only one piece at a time is held here."""
     spans, total = [], 0
-    for r in sizes:
+    for r in blocks.select("block", F.length("vectors").alias("n")).orderBy("block").collect():
         if spans and total + r["n"] <= PIECE:
             spans[-1][1], total = r["block"], total + r["n"]
         else:
             spans.append([r["block"], r["block"]])
             total = r["n"]
     together = max(1, ROUND // PIECE)
-
-    def piece(first: int, last: int):
-        rows = blocks.where(F.col("block").between(first, last)).collect()
-        return spark.sparkContext.broadcast([(r["pivot"], r["hi"], np.array(r["ids"]), bytes(r["vectors"])) for r in rows])
-
+    piece = lambda first, last: spark.sparkContext.broadcast([told(r) for r in blocks.where(F.col("block").between(first, last)).collect()])
     for at in range(0, len(spans), together):
         yield [piece(*s) for s in spans[at:at + together]]
 
 
-class _Best:
+class BestOf:
     """The k best of each query of one block so far, by falling score and rising id."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, skip_self: bool) -> None:
-        self.ids, self.vectors, self.small, self.k, self.skip_self = ids, vectors, vectors.astype(np.float32), k, skip_self
+    def __init__(self, queries: int, k: int) -> None:
+        self.queries, self.k = queries, k
         self.row, self.item, self.score, self.settled = np.zeros(0, np.int64), None, np.zeros(0), 0
-        self.kth = np.full(len(ids), -np.inf)
-        self.by_id = np.argsort(ids, kind="stable")
-        self.known = ids[self.by_id]
-        self.error = (vectors.shape[1] + 4) * 6e-8 + 1e-9  # of a product in 32 bits, and of rounding
+        self.kth = np.full(queries, -np.inf)
 
     def add(self, row: np.ndarray, item: np.ndarray, score: np.ndarray) -> None:
         self.row, self.score = np.concatenate([self.row, row]), np.concatenate([self.score, score])
@@ -127,6 +119,19 @@ class _Best:
         self.kth[self.row[last]] = self.score[last]
         self.settled = len(order)
 
+    def settle_if_many(self) -> None:
+        if len(self.row) - self.settled > self.k * self.queries // 3:
+            self.settle()
+
+
+class _Best(BestOf):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, skip_self: bool) -> None:
+        super().__init__(len(ids), k)
+        self.ids, self.vectors, self.small, self.skip_self = ids, vectors, vectors.astype(np.float32), skip_self
+        self.by_id = np.argsort(ids, kind="stable")
+        self.known = ids[self.by_id]
+        self.error = (vectors.shape[1] + 4) * 6e-8 + 1e-9  # of a product in 32 bits, and of rounding
+
     def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         rough = self.small @ vectors.astype(np.float32).T
         if self.skip_self:
@@ -143,8 +148,9 @@ class _Best:
             some = slice(at, at + GATHER)
             score[some] = np.einsum("nd,nd->n", self.vectors[row[some]], vectors[col[some]])
         self.add(row, ids[col], np.round(score, PLACES))
-        if np.isneginf(self.kth).any() or len(self.row) - self.settled > self.k * len(self.ids) // 3:
+        if np.isneginf(self.kth).any():
             self.settle()
+        self.settle_if_many()
 
 
 def nearest(items: DataFrame, k: int, queries: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
@@ -205,7 +211,7 @@ def nearest(items: DataFrame, k: int, queries: DataFrame | None = None, block_ro
                         yield pd.DataFrame({"query_id": np.array(block.ids)[best.row], "item_id": best.item, "score": best.score, "rank": place.astype(np.int32)})
         return run
 
-    rounds = _rounds(spark, item_blocks)
+    rounds = broadcast_rounds(spark, item_blocks, lambda r: (r["pivot"], r["hi"], np.array(r["ids"]), bytes(r["vectors"])))
     pieces = next(rounds, [])
     for following in rounds:
         state = cut(state.mapInPandas(carried(pieces), f"{fields}, row array<int>, item array<{id_type}>, score array<double>"))
